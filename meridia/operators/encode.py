@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler, VectorSlicer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -144,3 +145,9 @@ def keep_features(df: DataFrame, names: Sequence[str], kept: Sequence[str], out:
     """The sub-vector of the kept names, in their given order."""
     place = {n: i for i, n in enumerate(names)}
     return VectorSlicer(inputCol="features", outputCol=out, indices=[place[k] for k in kept]).transform(df)
+
+
+def slots(vector: str, names: Sequence[str]) -> Column:
+    """Explode a vector into (feature, value) rows."""
+    listed = F.arrays_zip(F.array(*[F.lit(n) for n in names]).alias("feature"), vector_to_array(vector).alias("value"))
+    return F.inline(listed)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import judging, preparation  # noqa: F401
+from . import judging, preparation, shaping  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES", "flagship"]

@@ -233,3 +233,17 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("row_id"), F.col("embedding").cast("array<double>").alias("x"), "label"
     )
+
+
+CUSTOMERS_SQL = """customers AS (SELECT c_custkey AS row_id, [c_acctbal / 1000, c_nationkey::double] AS x,
+                             CASE WHEN c_mktsegment = 'BUILDING' THEN 'building' ELSE 'other' END AS label
+              FROM customer)"""
+
+
+def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two dimensions in which the classes overlap."""
+    return table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("row_id"),
+        F.array(F.col("c_acctbal") / 1000, F.col("c_nationkey").cast("double")).alias("x"),
+        F.when(F.col("c_mktsegment") == "BUILDING", "building").otherwise("other").alias("label"),
+    )
