@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-from . import judging, preparation, shaping  # noqa: F401
+from . import judging, modelling, preparation, shaping  # noqa: F401
+from .modelling import flagship
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES", "flagship"]
-
-
-def flagship(spark, sf_dir):
-    return QUERIES["quantile_class"](spark, sf_dir)

@@ -164,10 +164,29 @@ def adasyn_weights(spark, sf_dir):
     return fix(balance.adasyn_weights(views.customers(spark, sf_dir), "label", "row_id", "x"), _ADASYN, 8)
 
 
-@query("adasyn")
+@query(
+    "adasyn",
+    f"""WITH {_ADASYN_SQL},
+    dealt AS (SELECT row_id, label, CAST(round_even(weight * ((SELECT max(n) FROM sizes) - n), 0) AS int) AS copies
+              FROM weights JOIN sizes USING (label)),
+    own AS (SELECT row_id, list(neighbor ORDER BY rank) AS near FROM (
+              SELECT a.row_id, b.row_id AS neighbor,
+                     row_number() OVER (PARTITION BY a.row_id ORDER BY list_distance(a.x, b.x), b.row_id) AS rank
+              FROM customers a JOIN customers b ON a.label = b.label AND a.row_id <> b.row_id
+              WHERE a.label IN (SELECT label FROM dealt)) WHERE rank <= 5 GROUP BY row_id),
+    draws AS (SELECT row_id, label, near, unnest(range(1, copies + 1)) AS copy FROM dealt JOIN own USING (row_id)),
+    hashed AS (SELECT *, md5('42:' || row_id || ':' || copy) AS h FROM draws),
+    chosen AS (SELECT row_id AS base, label, copy, near[('0x' || substr(h, 1, 8))::bigint % len(near) + 1] AS neighbor,
+                      ('0x' || substr(h, 9, 8))::bigint / 4294967296.0::double AS step FROM hashed),
+    made AS (SELECT base || '#' || copy AS synthetic_id, base, neighbor, c.label, a.x AS x0, b.x AS x1, step
+             FROM chosen c JOIN customers a ON a.row_id = base JOIN customers b ON b.row_id = neighbor)
+    SELECT synthetic_id, base, neighbor, label, i - 1 AS slot, {fixed_sql("x0[i] + step * (x1[i] - x0[i])", 8)} AS value
+    FROM (SELECT unnest(range(1, 3)) AS i, * FROM made)""",
+)
 def adasyn(spark, sf_dir):
     made = balance.adasyn(views.customers(spark, sf_dir), "label", "row_id", "x")
-    return made.select("synthetic_id", "base", "neighbor", "label", F.posexplode("x").alias("slot", "value"))
+    long = made.select("synthetic_id", "base", "neighbor", "label", F.posexplode("x").alias("slot", "value"))
+    return fix(long, ["value"], 8)
 
 
 # --- clusters ----------------------------------------------------------------------------------
