@@ -109,7 +109,7 @@ def range_splits(df: DataFrame, column: str, buckets: int | None = None) -> list
     grid = [i / buckets for i in range(1, buckets)]
     narrow = df.select((F.col(column).cast("double") + F.lit(0.0)).alias("x"))
     found = narrow.approxQuantile("x", grid, 1.0 / (4 * buckets))
-    return [float("-inf"), *sorted(set(found)), float("inf")]
+    return [float("-inf"), *(sorted(set(found)) or [0.0]), float("inf")]
 
 
 def even_grid(start: float, stop: float, n: int) -> Column:

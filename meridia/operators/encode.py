@@ -109,7 +109,7 @@ def preprocessor(scaled: Sequence[str], texts: Sequence[str], out: str = "featur
                 inputCols=list(texts), outputCols=indexed, handleInvalid="keep", stringOrderType="alphabetAsc"
             )
         )
-        stages.append(OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True, handleInvalid="keep"))
+        stages.append(OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True))
         blocks += encoded
     stages.append(VectorAssembler(inputCols=blocks, outputCol=out))
     return Pipeline(stages=stages)

@@ -35,7 +35,7 @@ def feature_importance(fitted: models.Fitted, names: Sequence[str]) -> DataFrame
         values = total / (total.sum() or 1.0)
     else:
         raise ValueError(f"{fitted.name} has no impurity importances; they need a tree ensemble")
-    rows = [(n, float(v)) for n, v in zip(names, values)]
+    rows = [(n, float(v)) for n, v in zip(names, values, strict=True)]
     return _session().createDataFrame(rows, "feature string, importance double")
 
 

@@ -102,12 +102,12 @@ def knn_join(
     asked = placed if same else _nearest_pivot(asked, chosen).persist()
     plan = _meeting_plan(placed, asked, chosen, k, block_rows)
     found = _meet(placed, asked, plan, k)
-    best = Window.partitionBy("g", "rep").orderBy("d2", "id")
+    best = Window.partitionBy("g", "rep").orderBy("distance", "id")
     lists = (
         found.withColumn("rn", F.row_number().over(best))
         .where(F.col("rn") <= k + 1)
         .groupBy("g", "rep")
-        .agg(F.sort_array(F.collect_list(F.struct("d2", "id"))).alias("near"))
+        .agg(F.sort_array(F.collect_list(F.struct("distance", "id"))).alias("near"))
     )
     per_vector = asked.select("g", "x", "rep").join(lists, ["g", "rep"]).select("g", "x", "near")
     rows = queries.select(F.col(group).alias("g"), F.col(vector).alias("x"), F.col(key).alias(key))
@@ -117,7 +117,7 @@ def knn_join(
     return joined.select(key, F.posexplode(F.slice(others, 1, k)).alias("pos", "n")).select(
         key,
         F.col("n.id").alias("neighbor"),
-        F.sqrt("n.d2").alias("distance"),
+        F.col("n.distance").alias("distance"),
         (F.col("pos") + 1).alias("rank"),
     )
 
@@ -203,19 +203,20 @@ def _meet(placed: DataFrame, asked: DataFrame, plan: dict, k: int) -> DataFrame:
 
     def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
-            return pd.DataFrame({"g": [], "rep": [], "d2": [], "id": []})
-        d2 = squared_distances(np.stack(left["x"].to_numpy()), np.stack(right["x"].to_numpy()))
-        limit = np.partition(d2, min(k, d2.shape[1] - 1), axis=1)[:, min(k, d2.shape[1] - 1)]
-        row, site = np.nonzero(d2 <= limit[:, None])
+            return pd.DataFrame({"g": [], "rep": [], "distance": [], "id": []})
+        far = np.sqrt(squared_distances(np.stack(left["x"].to_numpy()), np.stack(right["x"].to_numpy())))
+        last = min(k, far.shape[1] - 1)
+        limit = np.partition(far, last, axis=1)[:, last]
+        row, site = np.nonzero(far <= limit[:, None])
         ids = right["ids"].to_numpy()
-        flat = pd.DataFrame({"row": row, "d2": d2[row, site], "id": [ids[s] for s in site]}).explode("id")
-        flat = flat.sort_values(["row", "d2", "id"]).groupby("row").head(k + 1)
+        flat = pd.DataFrame({"row": row, "distance": far[row, site], "id": [ids[s] for s in site]}).explode("id")
+        flat = flat.sort_values(["row", "distance", "id"]).groupby("row").head(k + 1)
         at = flat["row"].to_numpy()
         return pd.DataFrame(
             {
                 "g": left["g"].to_numpy()[at],
                 "rep": left["rep"].to_numpy()[at],
-                "d2": flat["d2"].to_numpy(dtype=float),
+                "distance": flat["distance"].to_numpy(dtype=float),
                 "id": flat["id"].to_numpy(),
             }
         )
@@ -223,5 +224,5 @@ def _meet(placed: DataFrame, asked: DataFrame, plan: dict, k: int) -> DataFrame:
     return (
         queries.groupBy(*block)
         .cogroup(points.groupBy(*block))
-        .applyInPandas(best, f"g {kind}, rep {id_kind}, d2 double, id {id_kind}")
+        .applyInPandas(best, f"g {kind}, rep {id_kind}, distance double, id {id_kind}")
     )

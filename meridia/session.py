@@ -31,14 +31,15 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local master may fall back to a temporary folder; on a cluster such a folder would be
     private to one machine, so a missing setting is an error there.
     """
+    context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="meridia-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="meridia-"))
+    return context.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
