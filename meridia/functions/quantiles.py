@@ -15,7 +15,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_SMALL = 200_000
+_SMALL = 1_000_000
 _ERROR = 0.0005
 
 
@@ -41,7 +41,8 @@ def _locate(df: DataFrame, names: list[str], probabilities: list[float], small:
             for i, p in enumerate(probabilities):
                 at = (sizes[name] - 1) * p
                 targets[name, i] = (math.floor(at), math.ceil(at))
-    brackets = {t: (-math.inf, math.inf, 0) for t in targets}
+    # (low, high, rows below, rows inside)
+    brackets = {t: (-math.inf, math.inf, 0, sizes[t[0]]) for t in targets}
     open_targets = {t for t in targets if sizes[t[0]] > small}
     while open_targets:
         open_targets = _narrow(df, targets, brackets, open_targets, small)
@@ -57,17 +58,12 @@ def _narrow(df, targets, brackets, open_targets, small) -> set:
     """One round for all open targets: propose brackets, then keep those that hold their ranks."""
     order = sorted(open_targets)
     views = df.select(*[_inside(t[0], *brackets[t][:2]).alias(f"b{i}") for i, t in enumerate(order)])
-    counts = views.agg(*[F.count(f"b{i}").alias(f"b{i}") for i in range(len(order))]).first()
     proposed, still_open = {}, set()
     for i, t in enumerate(order):
-        m, below = counts[i], brackets[t][2]
-        if m <= small:
-            continue
+        _, _, below, m = brackets[t]
         first, last = ((r - below) / max(1, m - 1) for r in targets[t])
         ends = [max(0.0, first - 2 * _ERROR), min(1.0, last + 2 * _ERROR)]
         proposed[t] = views.approxQuantile(f"b{i}", ends, _ERROR)
-    if not proposed:
-        return set()
     checks = []
     for i, (t, (low, high)) in enumerate(proposed.items()):
         value = F.col(t[0])
@@ -80,7 +76,7 @@ def _narrow(df, targets, brackets, open_targets, small) -> set:
         holds = below <= first and last < below + m
         shrinks = (low, high) != brackets[t][:2]
         if holds and shrinks:
-            brackets[t] = (low, high, below)
+            brackets[t] = (low, high, below, m)
             if m > small and low < high:
                 still_open.add(t)
     return still_open
@@ -93,7 +89,7 @@ def _select(df, names, probabilities, sizes, targets, brackets) -> list[list[flo
         return result
     # targets of one column that share a bracket share its counts
     shared: dict[tuple[str, float, float, int], list[tuple[str, int]]] = {}
-    for t, (low, high, below) in brackets.items():
+    for t, (low, high, below, _) in brackets.items():
         shared.setdefault((t[0], low, high, below), []).append(t)
     parts = [
         F.struct(F.lit(i).alias("g"), _inside(name, low, high).alias("v"), F.lit(below).cast("bigint").alias("below"))

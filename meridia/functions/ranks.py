@@ -87,7 +87,7 @@ def running_totals(
         keyed = keyed.withColumn(name, F.col(source))
     counts = keyed.groupBy(*groups, "__b").agg(*[F.sum(v).alias(v) for v in internal])
     offsets = _bucket_offsets(counts, groups, internal)
-    direction = F.col("__o").desc() if descending else F.col("__o").asc()
+    direction = F.col(order).desc() if descending else F.col(order).asc()
     window = (
         Window.partitionBy(*groups, "__b").orderBy(direction).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )

@@ -11,11 +11,13 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hash_int, hash_key
-from .neighbors import _typed, squared_distances
+from .neighbors import as_udf, fresh, squared_distances
+from .neighbors import nearest as closest
 
 MICRO_CLUSTERS = 400
 
@@ -39,10 +41,8 @@ def kmeans(
 
 def class_centers(df: DataFrame, label: str, array: str) -> dict:
     """Mean vector per class: K arrays."""
-    slots = df.select(label, F.posexplode(array).alias("i", "v"))
-    means = slots.groupBy(label, "i").agg(F.avg("v").alias("v"))
-    rows = means.groupBy(label).agg(F.sort_array(F.collect_list(F.struct("i", "v"))).alias("c")).collect()
-    return {r[label]: [s["v"] for s in r["c"]] for r in sorted(rows, key=lambda r: r[label])}
+    means = df.groupBy(label).agg(Summarizer.mean(array_to_vector(array)).alias("c")).collect()
+    return {r[label]: r["c"].toArray().tolist() for r in sorted(means, key=lambda r: r[label])}
 
 
 def assign_to_centers(df: DataFrame, centers: dict, array: str, out: str = "cluster") -> DataFrame:
@@ -55,11 +55,10 @@ def assign_to_centers(df: DataFrame, centers: dict, array: str, out: str = "clus
             if not len(batch):
                 yield pd.DataFrame({"i": [], "d2": []})
                 continue
-            d2 = squared_distances(np.stack(batch.to_numpy()), shared.value)
-            at = d2.argmin(axis=1)
-            yield pd.DataFrame({"i": at.astype("int32"), "d2": d2[np.arange(len(at)), at]})
+            at, d2 = closest(np.stack(batch.to_numpy()), shared.value)
+            yield pd.DataFrame({"i": at, "d2": d2})
 
-    found = df.withColumn("__n", F.pandas_udf(_typed(nearest), "i int, d2 double")(F.col(array)))
+    found = df.withColumn("__n", F.pandas_udf(as_udf(nearest), "i int, d2 double")(F.col(array)))
     listed = F.array(*[F.lit(c) for c in names])
     return found.withColumn(out, F.element_at(listed, F.col("__n.i") + 1)).withColumn(
         "squared_distance", F.col("__n.d2")
@@ -92,8 +91,8 @@ def silhouette_euclidean(df: DataFrame, key: str, array: str, cluster: str, bloc
     blocks = max(1, math.ceil(sites.count() / block_rows))
     placed = sites.withColumn("block", F.pmod(hash_int(hash_key("block", "rep")), F.lit(blocks)).cast("int"))
     every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    left = placed.select(F.col("block").alias("i"), every.alias("j"), "rep", "x")
-    right = placed.select(every.alias("i"), F.col("block").alias("j"), "x", "c", "w")
+    left = placed.select(F.col("block").alias("i"), every.alias("j"), *fresh("rep", "x"))
+    right = placed.select(every.alias("i"), F.col("block").alias("j"), *fresh("x", "c", "w"))
     rep_kind = df.schema[key].dataType.simpleString()
     c_kind = df.schema[cluster].dataType.simpleString()
 
@@ -125,7 +124,7 @@ def silhouette_euclidean(df: DataFrame, key: str, array: str, cluster: str, bloc
     own = F.col("to") == F.col("c")
     per_site = (
         totals.join(sizes, "to")
-        .join(sites.select("rep", "c"), "rep")
+        .join(sites.select(*fresh("rep", "c")), "rep")
         .groupBy("rep", "c")
         .agg(
             F.max(F.when(own, F.try_divide(F.col("total"), F.col("size") - 1))).alias("a"),
@@ -136,7 +135,7 @@ def silhouette_euclidean(df: DataFrame, key: str, array: str, cluster: str, bloc
     value = F.when(F.col("own_size") == 1, 0.0).otherwise(
         F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0))
     )
-    scored = sites.select("x", "c", "rep").join(per_site.drop("c"), "rep")
+    scored = sites.select(*fresh("x", "c", "rep")).join(per_site.drop("c"), "rep")
     return (
         df.select(key, F.col(array).alias("x"), F.col(cluster).alias("c"))
         .join(scored.select("x", "c", "a", "b", value.alias("silhouette")), ["x", "c"])
@@ -149,9 +148,8 @@ def covariance_matrix(df: DataFrame, array: str) -> DataFrame:
 
     Each task returns one centred product matrix of p x p numbers, so rows are not shuffled.
     """
-    slots = df.select(F.posexplode(array).alias("i", "v")).groupBy("i").agg(F.avg("v").alias("m"))
-    mean = [r["m"] for r in sorted(slots.collect(), key=lambda r: r["i"])]
-    shared = df.sparkSession.sparkContext.broadcast(np.array(mean))
+    mean = df.select(Summarizer.mean(array_to_vector(array)).alias("m")).first()["m"].toArray()
+    shared = df.sparkSession.sparkContext.broadcast(mean)
     p = len(mean)
 
     def products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -32,6 +32,16 @@ def squared_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return total
 
 
+def nearest(x: np.ndarray, centers: np.ndarray, rows: int = 1024) -> tuple[np.ndarray, np.ndarray]:
+    """Index of the nearest centre (the first on a tie) and its squared distance, a few rows at a time."""
+    at, best = np.empty(len(x), dtype="int32"), np.empty(len(x))
+    for start in range(0, len(x), rows):
+        d2 = squared_distances(x[start : start + rows], centers)
+        at[start : start + rows] = d2.argmin(axis=1)
+        best[start : start + rows] = d2.min(axis=1)
+    return at, best
+
+
 def merge_copies(df: DataFrame, key: str, vector: str, group: str, keep: int) -> DataFrame:
     """One row per (group, vector): its ``keep`` smallest ids and the first of them."""
     copies = Window.partitionBy("g", "x").orderBy("id")
@@ -54,15 +64,14 @@ def _nearest_pivot(df: DataFrame, pivots: np.ndarray) -> DataFrame:
             if not len(batch):
                 yield pd.DataFrame({"cell": [], "radius": []})
                 continue
-            d2 = squared_distances(np.stack(batch.to_numpy()), shared.value)
-            cell = d2.argmin(axis=1)
-            yield pd.DataFrame({"cell": cell.astype("int32"), "radius": np.sqrt(d2[np.arange(len(cell)), cell])})
+            cell, d2 = nearest(np.stack(batch.to_numpy()), shared.value)
+            yield pd.DataFrame({"cell": cell, "radius": np.sqrt(d2)})
 
-    placed = F.pandas_udf(_typed(place), "cell int, radius double")
+    placed = F.pandas_udf(as_udf(place), "cell int, radius double")
     return df.withColumn("__p", placed("x")).select("*", "__p.cell", "__p.radius").drop("__p")
 
 
-def _typed(fn):
+def as_udf(fn):
     """pandas_udf reads real annotations; this module keeps them as text."""
     fn.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
     return fn
@@ -168,7 +177,7 @@ def _meeting_plan(placed: DataFrame, asked: DataFrame, pivots: np.ndarray, k: in
     return meetings
 
 
-def _fresh(*names: str) -> list:
+def fresh(*names: str) -> list:
     """Columns under new identities: both sides of a self-join come from one table."""
     return [F.col(n).alias(n) for n in names]
 
@@ -190,14 +199,14 @@ def _meet(placed: DataFrame, asked: DataFrame, plan: dict, k: int) -> DataFrame:
         .where(F.col("radius") >= F.col("least"))
         .withColumn("pb", F.pmod(spread, F.col("point_blocks")).cast("int"))
         .withColumn("qb", each_query)
-        .select(*_fresh("g", "query_cell", "qb", "cell", "pb", "ids", "x"))
+        .select(*fresh("g", "query_cell", "qb", "cell", "pb", "ids", "x"))
     )
     queries = (
         asked.withColumnRenamed("cell", "query_cell")
         .join(meetings, ["g", "query_cell"])
         .withColumn("qb", F.pmod(spread, F.col("query_blocks")).cast("int"))
         .withColumn("pb", each_point)
-        .select(*_fresh("g", "query_cell", "qb", "cell", "pb", "rep", "x"))
+        .select(*fresh("g", "query_cell", "qb", "cell", "pb", "rep", "x"))
     )
     block = ["g", "query_cell", "qb", "cell", "pb"]
 

@@ -87,7 +87,8 @@ def _grow_tree(tree: int, x: np.ndarray, seed: int) -> pd.DataFrame:
             nodes.append([tree, at, -1, 0.0, -1, -1, depth + float(_expected_path(len(rows)))])
             continue
         feature = int(rng.choice(open_features))
-        cut = float(rng.uniform(low[feature], high[feature]))
+        # below the highest value even when the two differ by one bit, so that no side is empty
+        cut = float(min(rng.uniform(low[feature], high[feature]), np.nextafter(high[feature], low[feature])))
         goes_left = x[rows, feature] <= cut
         nodes.append([tree, at, feature, cut, -1, -1, 0.0])
         stack.append((rows[goes_left], depth + 1, at, 0))

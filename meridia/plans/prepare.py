@@ -1,15 +1,18 @@
-"""Raw readings to finished tables in one lazy plan."""
+"""Raw readings to finished tables.
+
+The daily table and the flagged table are written once to the shared folder; the steps between are lazy.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import outliers, prep, split
+from ..session import materialize
 from . import reports
 
 
@@ -59,7 +62,7 @@ def prepare(
     order = [F.col("hourly_row_count").desc(), *[F.col(m) for m in prep.MEASURES]]
     cleaned = prep.clean(merged, [*keys, "date"], order, RANGES, at_least=[("carbon_lifecycle", "carbon_direct")])
     # everything below reads the daily table several times; the readings are scanned once
-    cleaned = cleaned.persist(StorageLevel.MEMORY_AND_DISK)
+    cleaned = materialize(cleaned, "daily")
     filled = prep.impute(cleaned, prep.MEASURES, ["data_source", "data_estimation_method"])
     keyed = filled.withColumn("row_id", F.concat_ws("|", *keys, F.date_format("date", "yyyy-MM-dd")))
     shaped = prep.gap_features(prep.calendar_parts(keyed))
@@ -68,6 +71,7 @@ def prepare(
     flagged = outliers.isolation_forest(flagged, CHECKED, "row_id", contamination, seed=seed)
     signals = ["iqr_outlier_count", "zscore_outlier_count", "isolation_forest_flag"]
     flagged = outliers.outlier_consensus(flagged, signals, consensus)
+    flagged = materialize(flagged, "flagged")
     final = flagged.where("outlier_consensus_flag = 0") if drop_outliers else flagged
     features = prep.finalize(final, extra=["row_id"])
     sides = split.stratified_split(features, prep.TARGET, "row_id", seed=seed)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..operators import balance, cluster, curves, encode, explain, metrics, models, prep, search, split, stats, tables
+from ..session import materialize
 from ..sources import writers
 from . import reports
 
@@ -57,7 +58,7 @@ def build_dataset(
 ) -> Dataset:
     """Split by class, scale and encode as learned on the training rows, balance those rows, deal folds."""
     encode.split_features_and_target(features, target)
-    sides = split.stratified_split(features, target, key, test_share, seed).persist(StorageLevel.MEMORY_AND_DISK)
+    sides = materialize(split.stratified_split(features, target, key, test_share, seed), "split")
     numeric, texts = encode.typed_columns(sides, [target, key, "split", *exclude])
     prepared = encode.fit_preprocessor(sides.where("split = 'train'"), numeric, texts)
     shaped = prepared.apply(sides).select(key, F.col(target).alias("label"), "features", "split")
@@ -70,8 +71,8 @@ def build_dataset(
         ordered = split.hash_rank(balanced, [], key, f"{seed}:row-order", rank="__row")
         folded = split.stratified_kfold(ordered, "label", "__row", folds, shuffle=False).drop("__row")
     return Dataset(
-        folded.persist(StorageLevel.MEMORY_AND_DISK),
-        test.persist(StorageLevel.MEMORY_AND_DISK),
+        materialize(folded, "train").persist(StorageLevel.MEMORY_AND_DISK),
+        materialize(test, "test").persist(StorageLevel.MEMORY_AND_DISK),
         prepared.names,
         strategy,
         prepared,
@@ -127,7 +128,7 @@ def model_study(
         searches[name] = found
     fitted = {n: s.best for n, s in searches.items()}
     classes = next(iter(fitted.values())).classes
-    scored = search.score_table(fitted, dataset.test, key).persist(StorageLevel.MEMORY_AND_DISK)
+    scored = materialize(search.score_table(fitted, dataset.test, key), "scored")
     cv = {n: (s.best.params, s.best_score) for n, s in searches.items()}
     made = Study(dataset, searches, scored, search.comparison(scored, classes, cv))
     made.tables["results"] = made.results
@@ -157,7 +158,13 @@ def earlier_results(df: DataFrame) -> DataFrame:
 
 
 def unsupervised(
-    df: DataFrame, train: DataFrame, key: str = "row_id", ks: Sequence[int] = tuple(range(2, 9)), k: int = 3, seed: int = 42
+    df: DataFrame,
+    train: DataFrame,
+    key: str = "row_id",
+    ks: Sequence[int] = tuple(range(2, 9)),
+    k: int = 3,
+    starts: int = 10,
+    seed: int = 42,
 ) -> dict[str, DataFrame]:
     """K sweep on the training rows; final clusters, their silhouettes and a projection of ``df``.
 
@@ -168,12 +175,12 @@ def unsupervised(
     fit_rows = train.select(key, to_array.alias("x"))
     few = fit_rows.limit(EUCLIDEAN_ROWS + 1).count() <= EUCLIDEAN_ROWS
     metric = "euclidean" if few else "squared"
-    sweep = cluster.elbow_sweep(fit_rows, ks, "x", key, seed=seed, metric=metric)
+    sweep = cluster.elbow_sweep(fit_rows, ks, "x", key, starts, seed, metric)
     rows = df.select(key, "label", "features").withColumn("x", to_array).persist()
-    _, _, by_kmeans = cluster.kmeans(rows, k, seed=seed, out="kmeans_cluster")
+    _, _, by_kmeans = cluster.kmeans(rows, k, starts=starts, seed=seed, out="kmeans_cluster")
     by_ward = cluster.hierarchical(by_kmeans, k, "x", key, seed=seed, out="ward_cluster")
     projected, shares = cluster.pca_project(by_ward)
-    points = encode.label_encode(projected, "label").persist()
+    points = materialize(encode.label_encode(projected, "label"), "clusters")
     scores = []
     for name, column in (("K-Means", "kmeans_cluster"), ("Agglomerative", "ward_cluster")):
         if few:
@@ -237,8 +244,8 @@ def random_study(
     dataset = build_dataset(features, target, key, folds=5, seed=seed)
     chosen = explain.select_features(dataset.train, dataset.names, factor=factor, seed=seed)
     cut = Dataset(
-        chosen.apply(dataset.train).persist(StorageLevel.MEMORY_AND_DISK),
-        chosen.apply(dataset.test).persist(StorageLevel.MEMORY_AND_DISK),
+        materialize(chosen.apply(dataset.train), "train").persist(StorageLevel.MEMORY_AND_DISK),
+        materialize(chosen.apply(dataset.test), "test").persist(StorageLevel.MEMORY_AND_DISK),
         chosen.kept,
         dataset.strategy,
         dataset.prepared,
@@ -265,7 +272,7 @@ def random_study(
     for name, fitted in made.fitted.items():
         part = search.out_of_fold(cut.train, name, fitted.params, key, seed=seed)
         by_fold = part if by_fold is None else by_fold.unionByName(part)
-    scores = search.fold_scores(by_fold).persist()
+    scores = materialize(search.fold_scores(by_fold), "fold-scores")
     made.tables["fold_scores"] = scores
     best = made.best_row()["model"]
     made.tables["wilcoxon"] = stats.wilcoxon_test(stats.paired_scores(scores, best), ["model"])
