@@ -7,6 +7,7 @@ rows in the buckets before it.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -34,7 +35,7 @@ def hash_rank(
     seed: int | str = 42,
     rank: str = "rank",
     size: str | None = None,
-    bucket_digits: int = 3,
+    bucket_digits: int | None = None,
 ) -> DataFrame:
     """1-based position of each row inside its group, in the order of its hash.
 
@@ -42,6 +43,10 @@ def hash_rank(
     sampling, and the same after a retry. The join back needs no second shuffle of the rows, because
     the window already placed them by the join key.
     """
+    if bucket_digits is None:
+        # at least 16 buckets per shuffle partition
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        bucket_digits = max(3, math.ceil(math.log(max(2, partitions), 16)) + 1)
     keyed, groups = _group_keys(df, by)
     keyed = keyed.withColumn("__h", hash_key(seed, key))
     keyed = keyed.withColumn("__b", F.substring("__h", 1, bucket_digits))

@@ -31,6 +31,7 @@ from .encode import class_index
 LOGISTIC = "Logistic Regression"
 FOREST = "Random Forest"
 BOOSTING = "Gradient Boosting"
+SOFTMAX_BOOSTING = "Gradient Boosting (softmax)"
 LINEAR_SVM = "SVM (Linear)"
 RBF_SVM = "SVM (RBF)"
 NETWORK = "Neural Network (MLP)"

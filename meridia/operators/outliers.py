@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import hash_int, hash_key
 from ..functions.quantiles import exact_quantiles
+from ..functions.trees import TreeTable
 
 
 def _count_true(conditions: list[Column]) -> Column:
@@ -142,33 +143,27 @@ def isolation_forest(
     start = nodes.groupby("tree")["node"].size().cumsum().shift(fill_value=0)
     shift = nodes["tree"].map(start).to_numpy()
     leaf = nodes["feature"].to_numpy() < 0
-    forest = {
-        "roots": start.to_numpy(),
-        "feature": np.where(leaf, 0, nodes["feature"]),
-        "cut": nodes["cut"].to_numpy(),
-        "left": np.where(leaf, shift + nodes["node"], shift + nodes["left_child"]),
-        "right": np.where(leaf, shift + nodes["node"], shift + nodes["right_child"]),
-        "path": nodes["path"].to_numpy(),
-    }
+    forest = TreeTable(
+        roots=start.to_numpy(),
+        output=np.zeros(len(start), dtype=int),
+        feature=np.where(leaf, 0, nodes["feature"]),
+        above=np.full(len(nodes), -np.inf),
+        upto=nodes["cut"].to_numpy(),
+        left=np.where(leaf, shift + nodes["node"], shift + nodes["left_child"]),
+        right=np.where(leaf, shift + nodes["node"], shift + nodes["right_child"]),
+        value=nodes["path"].to_numpy(),
+        depth=int(np.ceil(np.log2(max(2, sample)))),
+    )
     used = min(sample, df.limit(sample).count())
     norm = max(1e-12, float(_expected_path(used)))
-    depth = int(np.ceil(np.log2(max(2, sample))))
     shared = df.sparkSession.sparkContext.broadcast(forest)
 
     @F.pandas_udf("double")
     def walk(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        f = shared.value
         for batch in batches:
             x = np.column_stack([s.to_numpy(dtype=float) for s in batch])
-            rows = np.arange(len(x))
-            total = np.zeros(len(x))
-            for root in f["roots"]:
-                at = np.full(len(x), root)
-                for _ in range(depth):
-                    goes_left = x[rows, f["feature"][at]] <= f["cut"][at]
-                    at = np.where(goes_left, f["left"][at], f["right"][at])
-                total += f["path"][at]
-            yield pd.Series(np.power(2.0, -total / len(f["roots"]) / norm))
+            mean_path = shared.value.score(x)[:, 0] / len(shared.value.roots)
+            yield pd.Series(np.power(2.0, -mean_path / norm))
 
     scored = df.withColumn(score, walk(*[F.col(c).cast("double") for c in columns]))
     scored = scored.persist(StorageLevel.MEMORY_AND_DISK)

@@ -8,7 +8,7 @@ import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from meridia.operators import curves, encode, explain, models, search, split
+from meridia.operators import boosting, curves, encode, explain, models, search, split
 
 
 @pytest.fixture(scope="module")
@@ -174,3 +174,35 @@ def test_network_progress_stops(rows):
     got = curves.network_progress(rows, "row_id", hidden=(4,), step=5, max_iter=60, patience=2).collect()
     losses = [r["loss"] for r in got]
     assert losses[-1] < losses[0] and all(0 <= r["validation_accuracy"] <= 1 for r in got)
+
+
+def test_softmax_boosting_follows_the_multinomial_deviance(rows):
+    """Losses fall every round, and a round of stumps equals the same round worked out by hand."""
+    y = np.array([r["label"] for r in rows.orderBy("row_id").collect()])
+    losses = []
+    for n in (1, 3, 6):
+        made = boosting.fit_softmax_boosting(rows, {"n_estimators": n, "max_depth": 2, "learning_rate": 0.3})
+        scored = made.score(rows).orderBy("row_id").collect()
+        losses.append(-np.mean([math.log(r[f"p_{c}"]) for r, c in zip(scored, y)]))
+    assert losses[0] > losses[1] > losses[2]
+    one = boosting.fit_softmax_boosting(rows, {"n_estimators": 1, "max_depth": 1, "learning_rate": 1.0})
+    share = {c: (y == c).mean() for c in one.classes}
+    leaves = one.model.rounds[0]
+    placed = {i: leaves[i].model.transform(rows).orderBy("row_id").collect() for i in range(3)}
+    for i, c in enumerate(one.classes):
+        r = (y == c) - share[c]
+        leaf = np.array([int(p["__leaf"]) for p in placed[i]])
+        for value in set(leaf):
+            part = r[leaf == value]
+            expected = 2 / 3 * part.sum() / (np.abs(part) * (1 - np.abs(part))).sum()
+            assert leaves[i].values[value] == pytest.approx(expected)
+    stepped = made.model
+    chained = rows.withColumns({f"f{i}": F.lit(v) for i, v in enumerate(stepped.start)})
+    for trees in stepped.rounds:
+        for i, tree in enumerate(trees):
+            chained = tree.advance(chained, f"f{i}")
+    by_hand = np.array([[r[f"f{i}"] for i in range(3)] for r in chained.orderBy("row_id").collect()])
+    walked = np.array([r["rawPrediction"].toArray() for r in stepped.transform(rows).orderBy("row_id").collect()])
+    assert walked == pytest.approx(by_hand)
+    sampled = boosting.fit_softmax_boosting(rows, {"n_estimators": 2, "max_depth": 2, "subsample": 0.5})
+    assert _accuracy(sampled, rows) > 0.6
