@@ -318,22 +318,27 @@ def feature_target_split(spark, sf_dir):
     return fix(labeled.select("row_id", F.col(target).alias("label"), *wanted), ["carbon_direct"])
 
 
-@query("typed_columns")
+_ROLES_SQL = " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, '{'categorical' if c in prep.TEXTS else 'numeric'}' AS role, count({c}) AS filled,"
+    f" count(*) AS row_count FROM labeled"
+    for c in prep.FEATURE_ORDER
+)
+
+
+@query("typed_columns", f"WITH {views.LABELED_SQL} {_ROLES_SQL}")
 def typed_columns(spark, sf_dir):
-    """Each feature with its role, its filled rows and its distinct values over the whole table."""
-    labeled = views.labeled(spark, sf_dir)
-    numeric, texts = encode.typed_columns(labeled, [prep.TARGET, "row_id", *prep.ZONE_KEYS])
-    roles = {**dict.fromkeys(numeric, "numeric"), **dict.fromkeys(texts, "categorical")}
-    listed = F.array(
-        *[
-            F.struct(F.lit(c).alias("column_name"), F.lit(r).alias("role"), F.col(c).cast("string").alias("value"))
-            for c, r in roles.items()
-        ]
+    """Each feature with its role and its filled rows over the whole table."""
+    labeled = views.labeled(spark, sf_dir).select(*prep.FEATURE_ORDER, prep.TARGET)
+    numeric, texts = encode.typed_columns(labeled, [prep.TARGET])
+    roles = F.create_map(
+        *[F.lit(v) for c in numeric for v in (c, "numeric")], *[F.lit(v) for c in texts for v in (c, "categorical")]
     )
-    return (
-        labeled.select(F.inline(listed))
-        .groupBy("column_name", "role")
-        .agg(F.count("value").alias("filled"), F.approx_count_distinct("value").alias("distinct_values"))
+    profile = prep.null_profile(labeled, [*numeric, *texts])
+    return profile.select(
+        "column_name",
+        roles[F.col("column_name")].alias("role"),
+        (F.col("row_count") - F.col("null_count")).alias("filled"),
+        "row_count",
     )
 
 

@@ -50,16 +50,36 @@ def one_hot(spark, sf_dir):
     return rows.drop("data_source", "data_estimation_method")
 
 
-@query("preprocess")
+_NUM_STATS_SQL = ", ".join(f"avg({c}) AS {c}_m, stddev_pop({c}) AS {c}_s" for c in prep.NUMERIC_FEATURES)
+_SLOTS_SQL = " UNION ALL ".join(
+    [
+        f"SELECT row_id, split, 'numeric__{c}' AS feature,"
+        f" (l.{c} - {c}_m) / CASE WHEN {c}_s = 0 THEN 1 ELSE {c}_s END AS value FROM joined l, learned"
+        for c in prep.NUMERIC_FEATURES
+    ]
+    + [
+        f"SELECT row_id, split, 'categorical__{c}_' || v AS feature, ({c} = v)::int::double AS value FROM joined,"
+        f" (SELECT DISTINCT {c} AS v FROM joined WHERE split = 'train')"
+        for c in prep.TEXTS
+    ]
+)
+
+
+@query(
+    "preprocess",
+    f"""WITH {_SPLIT_SQL},
+    joined AS (SELECT labeled.*, split FROM labeled JOIN split USING (row_id)),
+    learned AS (SELECT {_NUM_STATS_SQL} FROM joined WHERE split = 'train'),
+    slots AS ({_SLOTS_SQL})
+    SELECT row_id, split, feature, {fixed_sql("value", 6)} AS value FROM slots""",
+)
 def preprocess(spark, sf_dir):
-    """Mean and spread of every slot of the prepared vector on both sides of the split."""
+    """Every slot of the prepared vector of every row, learned on the training side only."""
     rows = _split(spark, sf_dir).persist()
     numeric, texts = encode.typed_columns(rows.select(*prep.FEATURE_ORDER))
     prepared = encode.fit_preprocessor(rows.where("split = 'train'"), numeric, texts)
-    values = prepared.apply(rows).select("split", encode.slots("features", prepared.names))
-    return values.groupBy("split", "feature").agg(
-        F.round(F.avg("value"), 6).alias("mean"), F.round(F.stddev_pop("value"), 6).alias("std")
-    )
+    values = prepared.apply(rows).select("row_id", "split", encode.slots("features", prepared.names))
+    return fix(values, ["value"], 6)
 
 
 # --- neighbours and balance --------------------------------------------------------------------
