@@ -303,7 +303,7 @@ _PRIORITY_FOLD_SQL = f"{views.SCORED_LONG_SQL}, {_scores_sql('model, priority, f
                     JOIN seen s ON r.priority = s.priority) GROUP BY ALL),
     tested AS (SELECT model, s.priority, used, w AS statistic, avg((total >= w)::int) AS p
                FROM seen s JOIN masks m ON s.priority = m.priority GROUP BY ALL)
-    SELECT model, priority, 5 AS pairs, used, statistic, {fixed_sql("p", 8)} AS p_value,
+    SELECT model, priority, 5::bigint AS pairs, used, statistic, {fixed_sql("p", 8)} AS p_value,
            CASE WHEN p < 0.05 THEN 1 ELSE 0 END AS significant FROM tested""",
 )
 def wilcoxon_test(spark, sf_dir):

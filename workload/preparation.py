@@ -167,8 +167,8 @@ def impute(spark, sf_dir):
 @query(
     "calendar_parts",
     f"""WITH {views.READINGS_SQL}
-    SELECT row_id, day(datetime_utc) AS day, month(datetime_utc) AS month, year(datetime_utc) AS year,
-           hour(datetime_utc) AS hour, isodow(datetime_utc) - 1 AS day_of_week,
+    SELECT row_id, day(datetime_utc)::int AS day, month(datetime_utc)::int AS month, year(datetime_utc)::int AS year,
+           hour(datetime_utc)::int AS hour, (isodow(datetime_utc) - 1)::int AS day_of_week,
            CASE WHEN isodow(datetime_utc) >= 6 THEN 1 ELSE 0 END AS is_weekend
     FROM readings""",
 )
@@ -286,7 +286,7 @@ _PROFILE_SQL = " UNION ALL ".join(
 @query(
     "null_profile",
     f"""WITH {views.READINGS_SQL},
-    gaps AS (SELECT * REPLACE (nullif(cfe_percent, 0) AS cfe_percent), month(datetime_utc) AS month FROM readings)
+    gaps AS (SELECT * REPLACE (nullif(cfe_percent, 0) AS cfe_percent), month(datetime_utc)::int AS month FROM readings)
     {_PROFILE_SQL}""",
 )
 def null_profile(spark, sf_dir):

@@ -136,7 +136,7 @@ slots AS (SELECT unnest(range(1, {views.DIMENSIONS + 1})) AS i, * FROM made)"""
 @query(
     "smote",
     f"""WITH {_SMOTE_SQL}
-    SELECT synthetic_id, base, neighbor, label, i - 1 AS slot,
+    SELECT synthetic_id, base, neighbor, label, CAST(i - 1 AS int) AS slot,
            {fixed_sql("x0[i] + step * (x1[i] - x0[i])", 8)} AS value FROM slots""",
 )
 def smote(spark, sf_dir):
@@ -200,7 +200,7 @@ def adasyn_weights(spark, sf_dir):
                       ('0x' || substr(h, 9, 8))::bigint / 4294967296.0::double AS step FROM hashed),
     made AS (SELECT base || '#' || copy AS synthetic_id, base, neighbor, c.label, a.x AS x0, b.x AS x1, step
              FROM chosen c JOIN customers a ON a.row_id = base JOIN customers b ON b.row_id = neighbor)
-    SELECT synthetic_id, base, neighbor, label, i - 1 AS slot, {fixed_sql("x0[i] + step * (x1[i] - x0[i])", 8)} AS value
+    SELECT synthetic_id, base, neighbor, label, CAST(i - 1 AS int) AS slot, {fixed_sql("x0[i] + step * (x1[i] - x0[i])", 8)} AS value
     FROM (SELECT unnest(range(1, 3)) AS i, * FROM made)""",
 )
 def adasyn(spark, sf_dir):

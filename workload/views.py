@@ -105,8 +105,8 @@ DAILY_SQL = (
 daily AS (
   SELECT * REPLACE (coalesce(data_estimation_method, 'Unknown') AS data_estimation_method),
          zone_id || '-' || strftime(date, '%Y-%m-%d') AS row_id,
-         day(date) AS day, month(date) AS month, year(date) AS year, hour(datetime_utc) AS hour,
-         isodow(date) - 1 AS day_of_week, CASE WHEN isodow(date) >= 6 THEN 1 ELSE 0 END AS is_weekend,
+         day(date)::int AS day, month(date)::int AS month, year(date)::int AS year, hour(datetime_utc)::int AS hour,
+         (isodow(date) - 1)::int AS day_of_week, CASE WHEN isodow(date) >= 6 THEN 1 ELSE 0 END AS is_weekend,
          carbon_lifecycle - carbon_direct AS carbon_intensity_gap, cfe_percent - re_percent AS cfe_re_gap
   FROM daily0
 )"""
