@@ -61,7 +61,7 @@ def outlier_consensus(
 
 # --- isolation forest (Liu, Ting & Zhou 2008) --------------------------------------------------
 
-_TREE_SCHEMA = "tree int, node int, feature int, cut double, left_child int, right_child int, path double"
+_TREE_SCHEMA = "tree int, node int, feature int, cut double, left_child int, right_child int, path double, sampled int"
 
 
 def _expected_path(n: np.ndarray | int) -> np.ndarray:
@@ -95,7 +95,7 @@ def _grow_tree(tree: int, x: np.ndarray, seed: int) -> pd.DataFrame:
         stack.append((rows[goes_left], depth + 1, at, 0))
         stack.append((rows[~goes_left], depth + 1, at, 1))
     names = ["tree", "node", "feature", "cut", "left_child", "right_child", "path"]
-    return pd.DataFrame(nodes, columns=names)
+    return pd.DataFrame(nodes, columns=names).assign(sampled=len(x))
 
 
 def isolation_trees(
@@ -154,8 +154,7 @@ def isolation_forest(
         value=nodes["path"].to_numpy(),
         depth=int(np.ceil(np.log2(max(2, sample)))),
     )
-    used = min(sample, df.limit(sample).count())
-    norm = max(1e-12, float(_expected_path(used)))
+    norm = max(1e-12, float(_expected_path(nodes["sampled"].max())))
     shared = df.sparkSession.sparkContext.broadcast(forest)
 
     @F.pandas_udf("double")

@@ -207,6 +207,12 @@ def grid_study(
     key: str = "row_id",
     fixed: Mapping[str, Mapping[str, Any]] | None = None,
     diagnostics: bool = True,
+    shares: Sequence[float] = tuple(curves.LEARNING_SHARES),
+    strengths: Sequence[float] = tuple(curves.C_PATH),
+    clusters: Sequence[int] = tuple(range(2, 9)),
+    starts: int = 10,
+    curve_forest: Mapping[str, Any] | None = None,
+    network_steps: int = 500,
     seed: int = 42,
 ) -> Study:
     """Exhaustive search over three folds in row order, diagnostics, clusterings."""
@@ -217,15 +223,19 @@ def grid_study(
         importances = explain.feature_importance(made.fitted[models.FOREST], dataset.names)
         made.tables["feature_importance"] = tables.topk(importances, "importance", 15, "feature")
     if diagnostics:
-        forest = {"n_estimators": 100, "max_depth": 20}
-        curve = curves.learning_curve(dataset.train, models.FOREST, forest, key, seed=seed)
+        forest = curve_forest or {"n_estimators": 100, "max_depth": 20}
+        curve = curves.learning_curve(dataset.train, models.FOREST, forest, key, shares=shares, seed=seed)
         made.tables["learning_curve"] = curves.curve_summary(curve)
         both = dataset.train.select(key, "label", "features", F.lit("train").alias("split")).unionByName(
             dataset.test.select(key, "label", "features", F.lit("test").alias("split"))
         )
-        made.tables["regularization_path"] = curves.regularization_path(both, seed=seed)
-        made.tables["network_progress"] = curves.network_progress(dataset.train, key, seed=seed)
-        made.tables |= unsupervised(dataset.test, dataset.train, key, seed=seed)
+        made.tables["regularization_path"] = curves.regularization_path(
+            both, values=strengths, params=(fixed or {}).get(models.LOGISTIC), seed=seed
+        )
+        made.tables["network_progress"] = curves.network_progress(
+            dataset.train, key, max_iter=network_steps, seed=seed
+        )
+        made.tables |= unsupervised(dataset.test, dataset.train, key, clusters, starts=starts, seed=seed)
     return made
 
 
@@ -238,6 +248,9 @@ def random_study(
     fixed: Mapping[str, Mapping[str, Any]] | None = None,
     diagnostics: bool = True,
     factor: float = explain.SELECTION_FACTOR,
+    shares: Sequence[float] = tuple(curves.LEARNING_SHARES),
+    rates: Sequence[float] = tuple(curves.LEARNING_RATES),
+    earlier_booster: Mapping[str, Any] | None = None,
     seed: int = 42,
 ) -> Study:
     """Feature selection, random search over five shared folds, tests, explanations, comparison."""
@@ -281,14 +294,15 @@ def random_study(
             values = explain.tree_shap(made.fitted[best], cut.test, cut.names, key)
             made.tables["shap_importance"] = explain.shap_importance(values)
             made.tables["shap_points"] = explain.shap_points(values, key, classes[0])
+        earlier = earlier_booster or EARLIER_BOOSTER
         made.tables["mcnemar"] = retrain_compare(
-            cut.train, cut.test, (models.BOOSTING, EARLIER_BOOSTER), made.fitted[best], key, seed
+            cut.train, cut.test, (models.BOOSTING, earlier), made.fitted[best], key, seed
         )
-        booster = made.fitted[best].params if best == models.BOOSTING else EARLIER_BOOSTER
-        learning = curves.learning_curve(cut.train, models.BOOSTING, booster, key, seed=seed)
+        booster = made.fitted[best].params if best == models.BOOSTING else earlier
+        learning = curves.learning_curve(cut.train, models.BOOSTING, booster, key, shares=shares, seed=seed)
         made.tables["learning_curve"] = curves.curve_summary(learning)
         sweep = curves.validation_curve(
-            cut.train, models.BOOSTING, booster, "learning_rate", curves.LEARNING_RATES, seed=seed
+            cut.train, models.BOOSTING, booster, "learning_rate", rates, seed=seed
         )
         made.tables["validation_curve"] = curves.curve_summary(sweep)
     return made

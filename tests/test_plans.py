@@ -29,12 +29,23 @@ FIXED = {
 
 def test_grid_study(spark, features, tmp_path):
     grids = {models.LOGISTIC: {"C": [0.1, 10]}, models.FOREST: {"max_features": ["sqrt"]}}
-    made = study.grid_study(features, grids=grids, fixed=FIXED, diagnostics=False)
+    made = study.grid_study(
+        features,
+        grids=grids,
+        fixed=FIXED,
+        shares=[1.0],
+        strengths=[1.0],
+        clusters=(2, 3),
+        starts=1,
+        curve_forest={"n_estimators": 2, "max_depth": 3},
+        network_steps=10,
+    )
     rows = {r["model"]: r for r in made.results.collect()}
     assert set(rows) == set(grids) and all(r["f1_macro"] > 0.6 for r in rows.values())
     assert made.dataset.strategy == "Skipped (already balanced)"
     assert made.tables["feature_importance"].count() == 15
-    made.tables |= study.unsupervised(made.dataset.test, made.dataset.train, ks=(2, 3), starts=1)
+    assert made.tables["learning_curve"].count() == 2 and made.tables["regularization_path"].count() == 2
+    assert made.tables["elbow_and_silhouette"].count() == 2 and made.tables["network_progress"].count() >= 1
     for r in made.tables["clustering_results"].collect():
         assert -1 <= r["silhouette"] <= 1 and r["metric"] == "euclidean"
     study.write_study(made, str(tmp_path))
@@ -46,7 +57,9 @@ def test_grid_study(spark, features, tmp_path):
 
 def test_random_study(spark, features):
     grids = {models.FOREST: {"max_features": ["sqrt", "log2"]}, models.LOGISTIC: {"C": [1.0]}}
-    made = study.random_study(features, grids=grids, n_iter=2, fixed=FIXED, diagnostics=False)
+    made = study.random_study(
+        features, grids=grids, n_iter=2, fixed=FIXED, shares=[1.0], rates=[0.3], earlier_booster={"n_estimators": 1}
+    )
     rows = {r["model"]: r for r in made.results.collect()}
     assert all(r["roc_auc_macro"] > 0.7 for r in rows.values())
     assert made.tables["fold_scores"].count() == 10
@@ -54,12 +67,12 @@ def test_random_study(spark, features):
     assert 0 < len(made.selection.kept) <= len(made.selection.names)
     assert {r["model"] for r in made.tables["comparison"].collect()} == set(grids)
     assert made.tables["roc_interpolated"].count() == 400
-    test = study.retrain_compare(
-        made.dataset.train, made.dataset.test, (models.FOREST, {"n_estimators": 2}), made.fitted[models.FOREST]
-    ).first()
+    test = made.tables["mcnemar"].first()
     cells = ("both_right", "only_second_right", "only_first_right", "both_wrong")
     assert sum(test[c] for c in cells) == made.dataset.test.count()
-    made.tables["mcnemar"] = spark.createDataFrame([test])
+    assert made.tables["learning_curve"].count() == 2 and made.tables["validation_curve"].count() == 2
+    if made.best_row()["model"] == models.FOREST:
+        assert made.tables["shap_importance"].count() == min(15, len(made.selection.kept))
     text = "\n".join(r["text"] for r in study.report(made).orderBy("line_no").collect())
     assert "Conclusion:" in text and "Verdict:" in text and "features kept" in text
 
