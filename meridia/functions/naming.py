@@ -11,6 +11,11 @@ def clean_feature_name(name: Column) -> Column:
     return F.regexp_replace(name, "^(numeric|categorical)__", "")
 
 
+def clean_feature_text(name: str) -> str:
+    """The same for a name at the driver."""
+    return name.removeprefix("numeric__").removeprefix("categorical__")
+
+
 def slug(name: Column) -> Column:
     """Lower case, spaces to underscores, brackets removed."""
     return F.translate(F.lower(name), " ()", "_")

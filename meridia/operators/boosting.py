@@ -15,6 +15,7 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
+from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
 from pyspark.sql import Column, DataFrame
@@ -47,17 +48,18 @@ class BoostedTree:
         return placed.withColumn(score, F.col(score) + self.step()).drop("__leaf", "__fit")
 
 
-@dataclass(frozen=True)
-class SoftmaxBoosting:
-    """Fitted booster; behaves like a Spark model for scoring.
+class SoftmaxBoosting(Model):
+    """Fitted booster.
 
     Scoring walks all trees in one pass: their size is set by the parameters, not by the data.
     """
 
-    rounds: list[list[BoostedTree]]
-    start: list[float]
+    def __init__(self, rounds: list[list[BoostedTree]], start: list[float]):
+        super().__init__()
+        self.rounds, self.start = rounds, start
 
-    def transform(self, df: DataFrame) -> DataFrame:
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        df = dataset
         k, first = len(self.start), np.array(self.start)
         shared = df.sparkSession.sparkContext.broadcast(self._table())
 
@@ -121,57 +123,63 @@ def _softmax(scores: list[Column]) -> list[Column]:
     return [e / whole for e in each]
 
 
-def fit_softmax_boosting(
-    train: DataFrame, params: Mapping[str, Any] | None = None, label: str = "label", key: str = "row_id", seed: int = 42
-) -> models.Fitted:
-    """Parameters: n_estimators, learning_rate, max_depth, subsample, min_samples_leaf, max_bins."""
-    left = dict(params or {})
-    rounds = int(left.pop("n_estimators", 100))
-    rate = float(left.pop("learning_rate", 0.1))
-    share = float(left.pop("subsample", 1.0))
-    tree = DecisionTreeRegressor(
-        featuresCol="features",
-        labelCol="__target",
-        predictionCol="__fit",
-        leafCol="__leaf",
-        maxDepth=int(left.pop("max_depth", 3)),
-        minInstancesPerNode=int(left.pop("min_samples_leaf", 1)),
-        maxBins=int(left.pop("max_bins", 128)),
-        seed=seed,
-    )
-    if left.get("min_samples_split") == 2:
-        left.pop("min_samples_split")
-    if left:
-        raise ValueError(f"{models.BOOSTING}: no Spark counterpart for {sorted(left)}")
-    shape = models.describe(train, label)
-    k = len(shape.classes)
-    counts = {r[label]: r["n"] for r in train.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
-    # a class's first score is the logarithm of its share
-    start = [math.log(counts[c] / shape.n_rows) for c in shape.classes]
-    rows = models.with_label_index(train, label, shape.classes)
-    rows = rows.select(key, "features", "label_index", *[F.lit(v).alias(f"__f{i}") for i, v in enumerate(start)])
-    rows = materialize(rows, "boosting")
-    grown: list[list[BoostedTree]] = []
-    for at in range(rounds):
-        chance = _softmax([F.col(f"__f{i}") for i in range(k)])
-        residual = [(F.col("label_index") == i).cast("double") - p for i, p in enumerate(chance)]
-        round_rows = rows.withColumns({f"__r{i}": r for i, r in enumerate(residual)}).persist()
-        drawn = round_rows
-        if share < 1.0:
-            drawn = round_rows.where(hash_unit(hash_key(f"{seed}:{at}", key)) < share)
-        trees = []
-        for i in range(k):
-            fitted = tree.fit(drawn.withColumn("__target", F.col(f"__r{i}")))
-            trees.append(BoostedTree(fitted, _leaf_values(fitted, drawn, f"__r{i}", k, rate)))
-        rows = round_rows
-        for i, t in enumerate(trees):
-            rows = t.advance(rows, f"__f{i}")
-        rows = rows.select(key, "features", "label_index", *[f"__f{i}" for i in range(k)])
-        grown.append(trees)
-        if (at + 1) % WRITE_EVERY == 0 and at + 1 < rounds:
-            rows = materialize(rows, "boosting")
-        round_rows.unpersist()
-    return models.Fitted(models.SOFTMAX_BOOSTING, SoftmaxBoosting(grown, start), shape.classes, dict(params or {}))
+class SoftmaxBooster(Estimator):
+    """Parameters: n_estimators, learning_rate, max_depth, subsample, min_samples_leaf, max_bins.
+
+    Reads ``features``, ``label_index`` and, to draw a share of the rows each round, a row key.
+    """
+
+    def __init__(self, params: Mapping[str, Any], classes: int, key: str = "row_id", seed: int = 42):
+        super().__init__()
+        left = dict(params)
+        self.n_rounds = int(left.pop("n_estimators", 100))
+        self.rate = float(left.pop("learning_rate", 0.1))
+        self.share = float(left.pop("subsample", 1.0))
+        self.tree = DecisionTreeRegressor(
+            featuresCol="features",
+            labelCol="__target",
+            predictionCol="__fit",
+            leafCol="__leaf",
+            maxDepth=int(left.pop("max_depth", 3)),
+            minInstancesPerNode=int(left.pop("min_samples_leaf", 1)),
+            maxBins=int(left.pop("max_bins", 128)),
+            seed=seed,
+        )
+        if left.get("min_samples_split") == 2:
+            left.pop("min_samples_split")
+        if left:
+            raise ValueError(f"{models.SOFTMAX_BOOSTING}: no Spark counterpart for {sorted(left)}")
+        self.classes, self.key, self.seed = classes, key, seed
+
+    def _fit(self, dataset: DataFrame) -> SoftmaxBoosting:
+        k, scores = self.classes, [f"__f{i}" for i in range(self.classes)]
+        counts = {int(r["label_index"]): r["count"] for r in dataset.groupBy("label_index").count().collect()}
+        n = sum(counts.values())
+        # a class's first score is the logarithm of its share; one that is absent starts far below
+        start = [math.log(counts[i] / n) if i in counts else -30.0 for i in range(k)]
+        rows = dataset.select(self.key, "features", "label_index", *[F.lit(v).alias(s) for v, s in zip(start, scores)])
+        rows = materialize(rows, "boosting")
+        grown: list[list[BoostedTree]] = []
+        for at in range(self.n_rounds):
+            chance = _softmax([F.col(s) for s in scores])
+            residual = [(F.col("label_index") == i).cast("double") - p for i, p in enumerate(chance)]
+            round_rows = rows.withColumns({f"__r{i}": r for i, r in enumerate(residual)}).persist()
+            drawn = round_rows
+            if self.share < 1.0:
+                drawn = round_rows.where(hash_unit(hash_key(f"{self.seed}:{at}", self.key)) < self.share)
+            trees = []
+            for i in range(k):
+                fitted = self.tree.fit(drawn.withColumn("__target", F.col(f"__r{i}")))
+                trees.append(BoostedTree(fitted, _leaf_values(fitted, drawn, f"__r{i}", k, self.rate)))
+            rows = round_rows
+            for tree, score in zip(trees, scores):
+                rows = tree.advance(rows, score)
+            rows = rows.select(self.key, "features", "label_index", *scores)
+            grown.append(trees)
+            if (at + 1) % WRITE_EVERY == 0 and at + 1 < self.n_rounds:
+                rows = materialize(rows, "boosting")
+            round_rows.unpersist()
+        return SoftmaxBoosting(grown, start)
 
 
 def _leaf_values(

@@ -31,11 +31,12 @@ def kmeans(
 ):
     """The best of several starts by inertia: (model, inertia, rows with their cluster)."""
     best = None
-    cached = df.persist()
+    cached = df.select(features).persist()
     for start in range(starts):
         model = KMeans(k=k, seed=seed + start, featuresCol=features, predictionCol=out).fit(cached)
         if best is None or model.summary.trainingCost < best.summary.trainingCost:
             best = model
+    cached.unpersist()
     return best, best.summary.trainingCost, best.transform(df)
 
 

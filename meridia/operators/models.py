@@ -145,6 +145,10 @@ def build_estimator(name: str, params: Mapping[str, Any], shape: Shape, seed: in
             **columns,
         )
         made = OneVsRest(classifier=tree, parallelism=k, **columns)
+    elif name == SOFTMAX_BOOSTING:
+        from .boosting import SoftmaxBooster
+
+        made, left = SoftmaxBooster({**left, "max_bins": max_bins}, k, seed=seed), {}
     elif name == LINEAR_SVM:
         made = _one_vs_rest_svm(left, shape, columns)
     elif name == RBF_SVM:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ..functions.hashing import hash_int, hash_key
 
 BLOCK_ROWS = 1024
-MAX_PIVOTS = 2048
+MAX_PIVOTS = 1024
 
 
 def squared_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:

@@ -63,7 +63,7 @@ def daily_rollup(
     hours = F.count(F.lit(1))
     return readings.groupBy(*keys, F.to_date(ts).alias("date")).agg(
         *[F.avg(m).alias(m) for m in measures],
-        F.mode(texts[0], deterministic=True).alias(texts[0]),
+        *[F.mode(t, deterministic=True).alias(t) for t in texts[:1]],
         F.max(flag).alias(estimated),
         *[F.mode(t, deterministic=True).alias(t) for t in texts[1:]],
         F.sum(flag).cast("int").alias("estimated_hour_flag"),

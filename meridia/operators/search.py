@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from hashlib import md5
 from typing import Any
 
+from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, Window
@@ -127,7 +128,7 @@ def search(
     fixed = dict(fixed or {})
     estimators = [build_estimator(name, {**fixed, **c}, inner, seed) for c in candidates]
     indexed = with_label_index(train, label, shape.classes).withColumn(fold, F.col(fold).cast("int")).persist()
-    slot = models.Pipeline(stages=[])
+    slot = Pipeline(stages=[])
     validator = CrossValidator(
         estimator=slot,
         estimatorParamMaps=[{slot.stages: [e]} for e in estimators],

@@ -11,6 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
+from ..functions.naming import clean_feature_name, clean_feature_text
 from ..operators import balance, cluster, curves, encode, explain, metrics, models, prep, search, split, stats, tables
 from ..session import materialize
 from ..sources import writers
@@ -212,16 +213,18 @@ def grid_study(
     clusters: Sequence[int] = tuple(range(2, 9)),
     starts: int = 10,
     curve_forest: Mapping[str, Any] | None = None,
+    exclude: Sequence[str] = (),
     network_steps: int = 500,
     seed: int = 42,
 ) -> Study:
     """Exhaustive search over three folds in row order, diagnostics, clusterings."""
-    dataset = build_dataset(features, target, key, folds=3, shuffle=False, seed=seed)
+    dataset = build_dataset(features, target, key, folds=3, shuffle=False, exclude=exclude, seed=seed)
     candidates = {m: search.expand_grid(g) for m, g in (grids or search.GRID_PRESET).items()}
     made = model_study(dataset, candidates, key, fixed, seed=seed)
     if models.FOREST in made.fitted:
         importances = explain.feature_importance(made.fitted[models.FOREST], dataset.names)
-        made.tables["feature_importance"] = tables.topk(importances, "importance", 15, "feature")
+        named = importances.withColumn("feature", clean_feature_name(F.col("feature")))
+        made.tables["feature_importance"] = tables.topk(named, "importance", 15, "feature")
     if diagnostics:
         forest = curve_forest or {"n_estimators": 100, "max_depth": 20}
         curve = curves.learning_curve(dataset.train, models.FOREST, forest, key, shares=shares, seed=seed)
@@ -251,10 +254,11 @@ def random_study(
     shares: Sequence[float] = tuple(curves.LEARNING_SHARES),
     rates: Sequence[float] = tuple(curves.LEARNING_RATES),
     earlier_booster: Mapping[str, Any] | None = None,
+    exclude: Sequence[str] = (),
     seed: int = 42,
 ) -> Study:
     """Feature selection, random search over five shared folds, tests, explanations, comparison."""
-    dataset = build_dataset(features, target, key, folds=5, seed=seed)
+    dataset = build_dataset(features, target, key, folds=5, exclude=exclude, seed=seed)
     chosen = explain.select_features(dataset.train, dataset.names, factor=factor, seed=seed)
     cut = Dataset(
         materialize(chosen.apply(dataset.train), "train").persist(StorageLevel.MEMORY_AND_DISK),
@@ -280,7 +284,8 @@ def random_study(
     made.tables["calibration_curve"] = metrics.calibration_curve(complete, probabilities, by=["model"])
     if models.FOREST in made.fitted:
         importances = explain.feature_importance(made.fitted[models.FOREST], cut.names)
-        made.tables["feature_importance"] = tables.topk(importances, "importance", 15, "feature")
+        named = importances.withColumn("feature", clean_feature_name(F.col("feature")))
+        made.tables["feature_importance"] = tables.topk(named, "importance", 15, "feature")
     by_fold = None
     for name, fitted in made.fitted.items():
         part = search.out_of_fold(cut.train, name, fitted.params, key, seed=seed)
@@ -291,7 +296,8 @@ def random_study(
     made.tables["wilcoxon"] = stats.wilcoxon_test(stats.paired_scores(scores, best), ["model"])
     if diagnostics:
         if best in (models.FOREST, models.BOOSTING):
-            values = explain.tree_shap(made.fitted[best], cut.test, cut.names, key)
+            shown = [clean_feature_text(n) for n in cut.names]
+            values = explain.tree_shap(made.fitted[best], cut.test, shown, key)
             made.tables["shap_importance"] = explain.shap_importance(values)
             made.tables["shap_points"] = explain.shap_points(values, key, classes[0])
         earlier = earlier_booster or EARLIER_BOOSTER

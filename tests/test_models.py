@@ -8,7 +8,7 @@ import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from meridia.operators import boosting, curves, encode, explain, models, search, split
+from meridia.operators import curves, encode, explain, models, search, split
 
 
 @pytest.fixture(scope="module")
@@ -181,11 +181,11 @@ def test_softmax_boosting_follows_the_multinomial_deviance(rows):
     y = np.array([r["label"] for r in rows.orderBy("row_id").collect()])
     losses = []
     for n in (1, 3, 6):
-        made = boosting.fit_softmax_boosting(rows, {"n_estimators": n, "max_depth": 2, "learning_rate": 0.3})
+        made = models.fit(rows, models.SOFTMAX_BOOSTING, {"n_estimators": n, "max_depth": 2, "learning_rate": 0.3})
         scored = made.score(rows).orderBy("row_id").collect()
         losses.append(-np.mean([math.log(r[f"p_{c}"]) for r, c in zip(scored, y)]))
     assert losses[0] > losses[1] > losses[2]
-    one = boosting.fit_softmax_boosting(rows, {"n_estimators": 1, "max_depth": 1, "learning_rate": 1.0})
+    one = models.fit(rows, models.SOFTMAX_BOOSTING, {"n_estimators": 1, "max_depth": 1, "learning_rate": 1.0})
     share = {c: (y == c).mean() for c in one.classes}
     leaves = one.model.rounds[0]
     placed = {i: leaves[i].model.transform(rows).orderBy("row_id").collect() for i in range(3)}
@@ -204,5 +204,7 @@ def test_softmax_boosting_follows_the_multinomial_deviance(rows):
     by_hand = np.array([[r[f"f{i}"] for i in range(3)] for r in chained.orderBy("row_id").collect()])
     walked = np.array([r["rawPrediction"].toArray() for r in stepped.transform(rows).orderBy("row_id").collect()])
     assert walked == pytest.approx(by_hand)
-    sampled = boosting.fit_softmax_boosting(rows, {"n_estimators": 2, "max_depth": 2, "subsample": 0.5})
+    sampled = models.fit(rows, models.SOFTMAX_BOOSTING, {"n_estimators": 2, "max_depth": 2, "subsample": 0.5})
     assert _accuracy(sampled, rows) > 0.6
+    found = search.search(rows, models.SOFTMAX_BOOSTING, [{"max_depth": 1}, {"max_depth": 2}], fixed={"n_estimators": 1})
+    assert len(found.scores) == 2 and found.best.has_probabilities

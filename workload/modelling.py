@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meridia.operators import boosting, curves, encode, explain, metrics, models, prep, search
+from meridia.operators import curves, encode, explain, metrics, models, prep, search
 from meridia.plans import study
 
 from . import views
@@ -60,7 +60,7 @@ for _key, _name in {
 @query("fit_gbt_softmax")
 def fit_gbt_softmax(spark, sf_dir):
     data = _dataset(spark, sf_dir)
-    return _test_scores(boosting.fit_softmax_boosting(data.train, {"n_estimators": 2, "learning_rate": 0.5}), data)
+    return _test_scores(models.fit(data.train, models.SOFTMAX_BOOSTING, {"n_estimators": 2, "learning_rate": 0.5}), data)
 
 
 @query("platt_scaling")
