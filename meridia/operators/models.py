@@ -9,7 +9,7 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
-from pyspark import keyword_only
+from pyspark import InheritableThread, keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, Transformer
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -17,6 +17,7 @@ from pyspark.ml.classification import (
     LogisticRegression,
     MultilayerPerceptronClassifier,
     OneVsRest,
+    OneVsRestModel,
     RandomForestClassifier,
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -98,6 +99,43 @@ class FourierFeatures(Transformer, HasInputCol, HasOutputCol, HasSeed):
         return dataset.withColumn(self.getOutputCol(), array_to_vector(arrays))
 
 
+class ClassParallelOneVsRest(OneVsRest):
+    """One-vs-rest that fits its classes at the same time, each thread with job properties of its own.
+
+    PySpark 4.1 hands one set of properties to all threads when ``parallelism`` is above 1, and two SQL
+    jobs that start at the same moment can then fail.
+    """
+
+    def _fit(self, dataset: DataFrame) -> OneVsRestModel:
+        classifier, label = self.getClassifier(), self.getLabelCol()
+        k = int(dataset.agg(F.max(label)).first()[0]) + 1
+        rows = dataset.select(label, self.getFeaturesCol()).persist()
+        fitted: list = [None] * k
+        failures: list[BaseException] = []
+
+        def fit_class(i: int) -> None:
+            try:
+                columns = {
+                    classifier.labelCol: f"is_class_{i}",
+                    classifier.featuresCol: self.getFeaturesCol(),
+                    classifier.predictionCol: self.getPredictionCol(),
+                }
+                of_class = rows.withColumn(f"is_class_{i}", (F.col(label) == i).cast("double"))
+                fitted[i] = classifier.fit(of_class, columns)
+            except BaseException as error:  # noqa: BLE001 - raised again below
+                failures.append(error)
+
+        threads = [InheritableThread(fit_class, args=(i,), session=dataset.sparkSession) for i in range(k)]
+        for thread in threads:
+            thread.start()
+        for thread in threads:
+            thread.join()
+        rows.unpersist()
+        if failures:
+            raise failures[0]
+        return self._copyValues(OneVsRestModel(models=fitted))
+
+
 def _refuse(name: str, left: Mapping[str, Any]) -> None:
     if left:
         raise ValueError(f"{name}: no Spark counterpart for {sorted(left)}")
@@ -144,7 +182,7 @@ def build_estimator(name: str, params: Mapping[str, Any], shape: Shape, seed: in
             seed=seed,
             **columns,
         )
-        made = OneVsRest(classifier=tree, parallelism=k, **columns)
+        made = ClassParallelOneVsRest(classifier=tree, **columns)
     elif name == SOFTMAX_BOOSTING:
         from .boosting import SoftmaxBooster
 
@@ -180,7 +218,7 @@ def _one_vs_rest_svm(left: dict, shape: Shape, columns: dict) -> OneVsRest:
         maxIter=int(left.pop("max_iter", 100)),
         **columns,
     )
-    return OneVsRest(classifier=svm, parallelism=len(shape.classes), **columns)
+    return ClassParallelOneVsRest(classifier=svm, **columns)
 
 
 @dataclass(frozen=True)

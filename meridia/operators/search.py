@@ -114,13 +114,16 @@ def search(
     label: str = "label",
     fold: str = "fold",
     seed: int = 42,
-    parallelism: int = 4,
+    parallelism: int = 1,
     fixed: Mapping[str, Any] | None = None,
 ) -> SearchResult:
     """Cross-validate every candidate on the shared folds by macro F1 and refit the best on all rows.
 
     A candidate is a whole estimator here, since one parameter can change what the estimator is made
     of (layers, kernel). They are tried as one parameter of a one-stage pipeline.
+
+    ``parallelism`` stays 1 by default: PySpark 4.1 hands one set of job properties to all fitting
+    threads, and two SQL jobs that start at the same moment can then fail.
     """
     shape = describe(train, label)
     folds = train.agg(F.count_distinct(fold)).first()[0]

@@ -113,7 +113,7 @@ def model_study(
     fixed: Mapping[str, Mapping[str, Any]] | None = None,
     platt: bool = False,
     seed: int = 42,
-    parallelism: int = 4,
+    parallelism: int = 1,
 ) -> Study:
     """Search every model on the same folds and judge the winners on the same test rows.
 
