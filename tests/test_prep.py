@@ -20,7 +20,7 @@ COLUMNS = (
 
 def _readings(spark):
     rows = [
-        (HOUR + dt.timedelta(hours=h), "K", "Kosovo", "XK", 100.0 + h, 120.0 + h, 10.0, None if h == 0 else 5.0,
+        (HOUR + dt.timedelta(hours=h), "K", "Zone K", "XK", 100.0 + h, 120.0 + h, 10.0, None if h == 0 else 5.0,
          "b" if h < 2 else "a", h == 1, "M" if h == 1 else None, "hourly-2021.csv")
         for h in (0, 1, 2, 3, 26)
     ]
@@ -138,7 +138,7 @@ def test_names_and_parameters(spark):
 def test_csv_files_are_tagged_and_checked(spark, tmp_path):
     header = ",".join(c.split()[0] for c in readers.HOURLY_DDL.split(", "))
     for year in (2021, 2022):
-        line = f"{year}-01-01 00:00:00,K,Kosovo,XK,1.0,2.0,3.0,4.0,src,true,"
+        line = f"{year}-01-01 00:00:00,K,Zone K,XK,1.0,2.0,3.0,4.0,src,true,"
         (tmp_path / f"hourly-{year}.csv").write_text(f"{header}\n{line}\n")
     rows = readers.read_hourly(spark, [str(tmp_path / f"hourly-{y}.csv") for y in (2021, 2022)]).orderBy("source_file").collect()
     assert [r["source_file"] for r in rows] == ["hourly-2021.csv", "hourly-2022.csv"]
