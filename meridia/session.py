@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +25,7 @@ def local_session(cores: str | int = "*", app: str = "meridia", **conf: str) ->
         builder = builder.config(key, value)
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
+    ship(session)
     return session
 
 
@@ -43,6 +46,27 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the package's own source to the Python workers, once per session's context.
+
+    Functions that run in workers are found there by module name, so this makes a program work from any
+    folder, and on executors where the package is not installed.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_meridia_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="meridia-"), "meridia.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(archive)
+    context._meridia_shipped = True
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder once and go on from the written copy.
 
@@ -50,6 +74,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     loops of many fits plan against one plain scan.
     """
     spark = df.sparkSession
+    ship(spark)
     path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.parquet(path)

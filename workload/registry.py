@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meridia.session import ship
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -15,7 +18,12 @@ ORACLES: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = shipped
         if sql is not None:
             ORACLES[name] = sql
         return fn
