@@ -81,14 +81,26 @@ class Words:
         return np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))
 
 
-def split(texts: Sequence[str], lower: bool = True) -> Words:
-    """Words of the texts; ``lower`` turns A-Z to a-z first."""
+def _separators(punctuation: bool) -> np.ndarray:
+    """Whether each code below 128 ends a word; the last place stands for all other codes."""
+    codes = np.arange(129)
+    out = (codes == 32) | ((codes >= 9) & (codes <= 13))
+    if punctuation:
+        out |= np.array([c < 128 and not chr(c).isalnum() for c in range(129)])
+    return out
+
+
+WHITE, WHITE_AND_PUNCTUATION = _separators(False), _separators(True)
+
+
+def split(texts: Sequence[str], lower: bool = True, separators: np.ndarray = WHITE) -> Words:
+    """Words of the texts; ``lower`` turns A-Z to a-z first; ``separators``: which ASCII codes end a word."""
     codes = np.frombuffer(("\n".join(texts) + "\n").encode("utf-32-le", "surrogatepass"), np.uint32)
     if lower:
         codes = np.where(codes - np.uint32(65) < 26, codes | np.uint32(32), codes)
     offsets = np.zeros(len(texts) + 1, np.int64)
     np.cumsum([len(t) + 1 for t in texts], out=offsets[1:])
-    space = (codes == 32) | (codes - np.uint32(9) < 5)
+    space = separators[np.minimum(codes, np.uint32(128))]
     edge = np.flatnonzero(space[1:] != space[:-1]) + 1
     if not space[0]:
         edge = np.concatenate([[0], edge])
