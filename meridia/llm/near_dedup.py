@@ -7,9 +7,10 @@ agree as often as long ones. Bands of ``BAND_ROWS`` registers become candidates;
 registers, less the chance collisions expected of so few bits, sorts out the clearly different; what is left
 is compared on full sets.
 
-Texts with equal sets are one class and take part once. In a band, every class is compared with the smallest
-of the band, so a band of thousands costs thousands of comparisons. What that leaves open (two classes of one
-band that are not yet in one component) is compared in blocks of ``HUBS`` classes until nothing is open.
+Texts with equal sets are one class and take part once. In a band, every class is first compared with the
+smallest of the band, so a band of thousands of near copies costs thousands of comparisons. What that leaves
+open (two classes of one band in different components) is compared by short sketches inside sorted batches,
+in blocks of bounded size; only pairs whose sketches are close leave the batch.
 """
 
 from __future__ import annotations
@@ -30,9 +31,11 @@ BUCKETS = 256
 MANTISSA = 10
 # At similarity 0.8 a pair shares no band with probability (1 - 0.8**6)**42, under 3 in a million.
 BANDS, BAND_ROWS = 42, 6
-# A candidate is dropped on its estimate only this many standard errors below the threshold.
-SLACK = 6.0
-HUBS = 64
+# A candidate is dropped on an estimate only this many standard errors below the threshold.
+SLACK = 5.0
+# One byte of this many borrowed-in registers: a sketch that travels with the bands.
+SKETCH = 128
+BLOCK = 512
 
 _REST = np.uint64((1 << 56) - 1)
 _M = np.uint64(0xD6E8FEB86659FD93)
@@ -62,8 +65,8 @@ def registers(distinct: np.ndarray) -> np.ndarray:
     return out
 
 
-def band_keys(regs: np.ndarray) -> np.ndarray:
-    """Keys of all bands for rows of registers; rows without a filled bucket must be left out."""
+def band_keys(regs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of all bands, and sketches, for rows of registers; rows without a filled bucket must be left out."""
     full = regs.astype(np.int64)
     source = np.tile(np.arange(BUCKETS), (len(regs), 1))
     row, col = np.nonzero(regs == 0)
@@ -75,11 +78,13 @@ def band_keys(regs: np.ndarray) -> np.ndarray:
         hit = found != 0
         full[row[hit], col[hit]], source[row[hit], col[hit]] = found[hit], near[hit]
         row, col = row[~hit], col[~hit]
-    value = (full | (source << 16)).astype(np.uint64)[:, : BANDS * BAND_ROWS].reshape(len(regs), BANDS, BAND_ROWS)
+    value = (full | (source << 16)).astype(np.uint64)
+    sketch = mix(value[:, :SKETCH]).astype(np.uint8)
+    value = value[:, : BANDS * BAND_ROWS].reshape(len(regs), BANDS, BAND_ROWS)
     key = np.tile(mix(np.arange(1, BANDS + 1, dtype=np.uint64)), (len(regs), 1))
     for j in range(BAND_ROWS):
         key = mix(key * np.uint64(0x9E3779B97F4A7C15) + value[:, :, j])
-    return key.view(np.int64)
+    return key.view(np.int64), sketch
 
 
 def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -140,11 +145,82 @@ def _band_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         for lo in range(0, batch.num_rows, 1024):
             part = batch.slice(lo, 1024)
-            keys = band_keys(_as_registers(part.column(1)))
+            keys, _ = band_keys(_as_registers(part.column(1)))
             rep = np.repeat(part.column(0).to_numpy(zero_copy_only=False), BANDS)
             yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(rep)], names=["band", "rep"])
 
 
+def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for lo in range(0, batch.num_rows, 1024):
+            part = batch.slice(lo, 1024)
+            _, sketch = band_keys(_as_registers(part.column(1)))
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), part.column(2), pa.array([r.tobytes() for r in sketch], pa.binary())],
+                names=["rep", "n_shingles", "sketch"],
+            )
+
+
+def close_pairs(
+    sketch: np.ndarray, size: np.ndarray, component: np.ndarray, side: np.ndarray, threshold: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows in different components whose sizes and sketches allow the threshold.
+
+    ``side`` tells two blocks apart: rows of one side are compared with the other's, or all with all if there
+    is one side only.
+    """
+    least = (threshold - SLACK * (threshold * (1 - threshold) / SKETCH) ** 0.5) * SKETCH
+    found = []
+    both = len(side) and side.min() != side.max()
+    for i in range(len(sketch) - 1):
+        rest = slice(i + 1, None)
+        ok = component[rest] != component[i]
+        ok &= np.minimum(size[rest], size[i]) >= threshold * np.maximum(size[rest], size[i]) - 1e-9
+        if both:
+            ok &= side[rest] != side[i]
+        at = np.flatnonzero(ok) + i + 1
+        if len(at):
+            near = at[(sketch[at] == sketch[i]).sum(1) >= least]
+            if len(near):
+                found.append(np.stack([np.full(len(near), i), near]))
+    a, b = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
+    return a, b
+
+
+def _close_batches(threshold: float):
+    """Close pairs of every run of rows with one key; rows come sorted by it, a run is a block or two."""
+
+    def pairs(table: pa.Table) -> pa.RecordBatch:
+        key = np.stack([table.column(c).to_numpy() for c in ("band", "p", "q")], axis=1)
+        cuts = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(1), [True]]))
+        rep, size, component, side = (table.column(c).to_numpy() for c in ("rep", "n_shingles", "component", "side"))
+        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)
+        out = []
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            a, b = close_pairs(sketch[lo:hi], size[lo:hi], component[lo:hi], side[lo:hi], threshold)
+            out.append(np.stack([rep[lo + a], rep[lo + b]]))
+        ends = np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
+        ends = np.unique(np.sort(ends, axis=0), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(ends[0], pa.int64()), pa.array(ends[1], pa.int64())], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            # The last key of a batch may go on in the next one.
+            table = pa.Table.from_batches([*held, batch])
+            key = np.stack([table.column(c).to_numpy() for c in ("band", "p", "q")], axis=1)
+            last = int(np.argmax((key == key[-1]).all(1)))
+            if last:
+                yield pairs(table.slice(0, last))
+            held = table.slice(last).to_batches()
+        if held:
+            yield pairs(pa.Table.from_batches(held))
+
+    return run
+
+
 def _estimate_batches(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -152,8 +228,11 @@ def _estimate_batches(threshold: float):
                 continue
             sizes = [batch.column(i).to_numpy() for i in (4, 5)]
             value, filled = estimate(_as_registers(batch.column(2)), _as_registers(batch.column(3)), *sizes)
-            error = np.sqrt(threshold * (1 - threshold) / np.maximum(filled, 1))
-            near = value >= threshold - SLACK * error
+            # Of small sets the filled buckets show nearly all, so little is left to chance.
+            shown = np.minimum(filled / ((sizes[0] + sizes[1]) / (1 + threshold)), 1)
+            error = np.sqrt(threshold * (1 - threshold) / np.maximum(filled, 1) * (1.05 - shown))
+            near = value >= threshold - SLACK * error - 1 / np.maximum(filled, 1)
+            near &= np.minimum(*sizes) >= threshold * np.maximum(*sizes) - 1e-9
             yield batch.select([0, 1]).filter(pa.array(near))
 
     return run
@@ -202,7 +281,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8) ->
     sets = _sets(docs, classes, shared, width)
     stars = shared.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b"))
     links = materialize(_verified(stars, classes, sets, threshold), "near-links")
-    links, joined_up = _settle_rest(shared, classes, sets, links, threshold)
+    joined_up = components(links)
+    rest = materialize(
+        _verified(_open_pairs(shared, classes, joined_up, threshold), classes, sets, threshold), "near-links"
+    )
+    if not rest.isEmpty():
+        links = links.unionByName(rest).distinct()
+        joined_up = components(links)
     degree = (
         links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n_links"))
     )
@@ -249,37 +334,31 @@ def _verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame, threshold:
     return both.where(common * 100 >= union * per_cent).select("a", "b").distinct()
 
 
-def _settle_rest(
-    shared: DataFrame, classes: DataFrame, sets: DataFrame, links: DataFrame, threshold: float
-) -> tuple[DataFrame, DataFrame]:
-    """Compare what stars leave open: classes of a band that are still in different components.
+def _open_pairs(shared: DataFrame, classes: DataFrame, done: DataFrame, threshold: float) -> DataFrame:
+    """Pairs that stars leave open: close classes of one band in different components.
 
-    A round takes the ``HUBS`` smallest open classes of every band against the rest of that band and then
-    lets them go, so each row meets a bounded number of others and the rounds end.
+    A band of more than ``BLOCK`` classes is dealt into blocks, and every two blocks meet apart, so no task
+    holds more than two blocks of one band, whatever its size.
     """
-    done = components(links)
-    left = shared.where("rep <> hub").select("band", "rep")  # hubs have met all others
-    while True:
-        named = left.join(done.withColumnRenamed("node", "rep"), "rep", "left").select(
-            "band", "rep", F.coalesce("component", "rep").alias("component")
-        )
-        mixed = (
-            named.groupBy("band")
-            .agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-            .where("lo <> hi")
-            .select("band")
-        )
-        named = materialize(named.join(mixed, "band", "left_semi"), "open")
-        if named.isEmpty():
-            return links, done
-        nth = F.row_number().over(Window.partitionBy("band").orderBy("rep"))
-        hubs = materialize(named.withColumn("nth", nth).where(F.col("nth") <= HUBS), "hubs")
-        meet = (
-            hubs.select("band", F.col("rep").alias("a"), F.col("component").alias("ca"))
-            .join(named.select("band", F.col("rep").alias("b"), F.col("component").alias("cb")), "band")
-            .where("a < b AND ca <> cb")
-            .select("a", "b")
-        )
-        links = materialize(links.unionByName(_verified(meet, classes, sets, threshold)).distinct(), "near-links")
-        done = components(links)
-        left = named.join(hubs.select("band", "rep"), ["band", "rep"], "left_anti").select("band", "rep")
+    named = shared.join(done.withColumnRenamed("node", "rep"), "rep", "left").select(
+        "band", "rep", F.coalesce("component", "rep").alias("component")
+    )
+    mixed = (
+        named.groupBy("band")
+        .agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n"))
+        .where("lo <> hi")
+        .select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    )
+    sketches = classes.select("rep", "registers", "n_shingles").mapInArrow(
+        _sketch_batches, "rep long, n_shingles long, sketch binary"
+    )
+    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    rows = named.join(mixed, "band").withColumn("own", own)
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select(
+        "band", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "rep", "component",
+        F.col("own").alias("side"),
+    )
+    keyed = rows.join(sketches, "rep").select("band", "p", "q", "rep", "component", "side", "n_shingles", "sketch")
+    keyed = keyed.repartition("band", "p", "q").sortWithinPartitions("band", "p", "q")
+    return keyed.mapInArrow(_close_batches(threshold), "a long, b long").distinct()
