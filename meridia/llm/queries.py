@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meridia.llm import decontaminate, language_id, near_dedup, quality_classifier
+from meridia.llm import decontaminate, language_id, near_dedup, quality_classifier, quality_rules
 from meridia.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -31,3 +31,8 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality_classifier.score(docs, quality_classifier.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op3_quality_rules")
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
