@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meridia.llm import decontaminate, language_id, near_dedup, quality_classifier, quality_rules
+from meridia.llm import decontaminate, language_id, line_dedup, near_dedup, quality_classifier, quality_rules
 from meridia.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -36,3 +36,46 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_quality_rules")
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+# Places order lines by document and number; variants leave out one word; both as in the operator, on strings.
+_LINES_SQL = """
+WITH rows AS (
+  SELECT doc_id, md5(coalesce(text, '')) AS text_hash, string_split(text, chr(10)) AS parts FROM documents
+), numbered AS (
+  SELECT doc_id, text_hash, unnest(parts) AS line, unnest(range(len(parts))) AS line_no FROM rows
+), lines AS (
+  SELECT doc_id, text_hash, doc_id::HUGEINT * 2147483648 + line_no AS place,
+         list_filter(regexp_split_to_array(line, '[ \\t\\n\\x0b\\x0c\\r]+'), lambda w: w <> '') AS words
+  FROM numbered WHERE regexp_matches(line, '[^ \\t\\n\\x0b\\x0c\\r]')
+), firsts AS (
+  SELECT words, min(place) AS place FROM lines GROUP BY words
+), variants AS (
+  SELECT place, words, 0 AS left_out, words AS v FROM firsts WHERE len(words) >= 8
+  UNION ALL
+  SELECT place, words, i, words[:i - 1] || words[i + 1:]
+  FROM (SELECT place, words, unnest(range(1, len(words) + 1)) AS i FROM firsts WHERE len(words) >= 8)
+), replaced AS (
+  SELECT v, left_out, min(place) AS m FROM variants WHERE left_out > 0 GROUP BY v, left_out HAVING count(*) > 1
+), shorter AS (
+  SELECT v, min(place) FILTER (left_out = 0) AS whole, min(place) FILTER (left_out > 0) AS cut
+  FROM variants GROUP BY v HAVING whole IS NOT NULL AND cut IS NOT NULL
+), near AS (
+  SELECT DISTINCT place FROM (
+    SELECT place FROM variants JOIN replaced USING (v, left_out) WHERE m < place
+    UNION ALL
+    SELECT place FROM variants JOIN shorter USING (v) WHERE CASE WHEN left_out = 0 THEN cut ELSE whole END < place)
+), gone AS (
+  SELECT l.doc_id, l.text_hash, count(*) FILTER (l.place > f.place) AS n_equal,
+         count(*) FILTER (l.place = f.place AND n.place IS NOT NULL) AS n_near
+  FROM lines l JOIN firsts f USING (words) LEFT JOIN near n ON n.place = f.place GROUP BY ALL
+)
+SELECT r.doc_id, coalesce(len(r.parts), 0)::BIGINT AS n_lines, coalesce(n_equal, 0) AS n_equal,
+       coalesce(n_near, 0) AS n_near, coalesce(len(r.parts), 0) - coalesce(n_equal, 0) - coalesce(n_near, 0) AS n_kept
+FROM rows r LEFT JOIN gone USING (doc_id, text_hash)
+"""
+
+
+@query("op7_line_dedup", _LINES_SQL)
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_counts(table(spark, sf_dir, "documents"))
