@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meridia.llm import decontaminate, language_id, line_dedup, near_dedup, quality_classifier, quality_rules
+from meridia.llm import decontaminate, language_id, line_dedup, mixing, near_dedup, quality_classifier, quality_rules
 from meridia.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -79,3 +79,8 @@ FROM rows r LEFT JOIN gone USING (doc_id, text_hash)
 @query("op7_line_dedup", _LINES_SQL)
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_counts(table(spark, sf_dir, "documents"))
+
+
+@query("op10_mixing")
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(mixing.mix(table(spark, sf_dir, "documents"))).drop("text_hash", "source")
