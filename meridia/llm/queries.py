@@ -3,8 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-
-from meridia.llm import decontaminate, language_id, line_dedup, mixing, near_dedup, quality_classifier, quality_rules
+from pyspark.sql import functions as F
+
+from meridia.llm import (
+    decontaminate,
+    language_id,
+    line_dedup,
+    mixing,
+    near_dedup,
+    quality_classifier,
+    quality_rules,
+    url_filter,
+    url_lists,
+)
 from meridia.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -84,3 +95,10 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_mixing")
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(mixing.mix(table(spark, sf_dir, "documents"))).drop("text_hash", "source")
+
+
+@query("op1_url_filters", url_lists.SQL)
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    rows = url_filter.evaluate(url_lists.captures(pages), url_lists.entries(pages))
+    return rows.withColumns({"lists": F.array_join("lists", ","), "fetched": F.col("fetched").cast("string")})
