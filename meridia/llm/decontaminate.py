@@ -43,7 +43,7 @@ def seeds(tokens: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
 
 
 def _combined(tokens: np.ndarray, offsets: np.ndarray, n: int) -> np.ndarray:
-    total = np.full(n, np.uint64(offsets[-1]) * _FACTORS[63], np.uint64)
+    total = np.full(n, int(offsets[-1]) * int(_FACTORS[63]) % (1 << 64), np.uint64)
     for i, o in enumerate(offsets):
         total += tokens[o : o + n] * _FACTORS[i]
     return mix(total + np.uint64(len(offsets)))
@@ -153,14 +153,14 @@ def _verify_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         out = batch.select([0, 1]).take(pa.array(keep, pa.int64()))
         yield pa.RecordBatch.from_arrays(
             [*out.columns, pa.array(begin, pa.int32()), pa.array(size, pa.int32()), pa.array(match, pa.int32())],
-            names=["row_no", "item_id", "start", "length", "matches"],
+            names=["row_no", "item_no", "start", "length", "matches"],
         )
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
     """All rows of ``docs`` with a row number, and the benchmark overlaps found in them.
 
-    The second table has ``row_no, item_id, start, length, matches``: the longest stretch of tokens on one
+    The second table has ``row_no, item_no, item_id, start, length, matches``: the longest stretch of tokens on one
     alignment of a document and an item, from token ``start`` of the document.
     """
     spark = docs.sparkSession
@@ -171,8 +171,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFram
         ),
         "items",
     )
-    of_items = items.select("item_id", F.explode("seeds").alias("s")).select(
-        "item_id", F.col("s.seed").alias("seed"), F.col("s.at").alias("item_at")
+    # Items are told apart by a number of their own: ids may be null or repeated.
+    items = materialize(items.withColumn("item_no", F.monotonically_increasing_id()), "items")
+    of_items = items.select("item_no", F.explode("seeds").alias("s")).select(
+        "item_no", F.col("s.seed").alias("seed"), F.col("s.at").alias("item_at")
     )
     bits = spark.sparkContext.broadcast(_filter_of(of_items))
     n = F.size("item_tokens")
@@ -189,14 +191,15 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFram
         hit.select("row_no", F.explode(F.arrays_zip("seeds", "at")).alias("s"))
         .select("row_no", F.col("s.seeds").alias("seed"), F.col("s.at").alias("doc_at"))
         .join(of_items, "seed")
-        .select("row_no", "item_id", (F.col("doc_at") - F.col("item_at")).alias("shift"))
+        .select("row_no", "item_no", (F.col("doc_at") - F.col("item_at")).alias("shift"))
         .distinct()
     )
     found = (
-        pairs.join(items.select("item_id", "item_tokens"), "item_id")
+        pairs.join(items.select("item_no", "item_tokens"), "item_no")
         .join(hit.select("row_no", "doc_tokens"), "row_no")
-        .select("row_no", "item_id", "shift", "doc_tokens", "item_tokens")
-        .mapInArrow(_verify_batches, "row_no long, item_id long, start int, length int, matches int")
+        .select("row_no", "item_no", "shift", "doc_tokens", "item_tokens")
+        .mapInArrow(_verify_batches, "row_no long, item_no long, start int, length int, matches int")
+        .join(items.select("item_no", "item_id"), "item_no")
     )
     return marked.select("row_no", "doc_id", "text_hash"), found
 
@@ -229,7 +232,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     rows, found = overlaps(docs, benchmark)
     best = (
-        found.groupBy("row_no", "item_id")
+        found.groupBy("row_no", "item_no", "item_id")
         .agg(F.max(F.struct("length", "matches")).alias("m"))
         .groupBy("row_no")
         .agg(

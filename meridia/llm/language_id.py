@@ -293,3 +293,21 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     return rows.mapInArrow(
         run, "doc_id long, text_hash long, held_out boolean, lang_pred string, score double, n_switches long"
     )
+
+
+def keep_identified(docs: DataFrame, model: Model, least_share: float) -> DataFrame:
+    """``docs``, all columns, without rows whose language is ``und`` or whose score is under ``least_share``.
+
+    A model without languages can reject nothing: then all rows stay.
+    """
+    if not model.languages:
+        return docs
+    known, place = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t or "" for t in batch.column(place).to_pylist()]
+            good = [lang != "und" and score >= least_share for lang, score, _ in label_texts(texts, known.value)]
+            yield batch.filter(pa.array(good, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -24,6 +24,7 @@ BUDGET, REPEATS = 1.5, 2
 # Documents of a source are numbered in groups of about this many words, so no task sees a whole source.
 GROUP_WORDS = 1 << 22
 ROUNDS = 24
+ADDED = ("size", "source_size", "target", "taken")
 
 
 @dataclass
@@ -183,6 +184,30 @@ def taken(mixed: Mix) -> DataFrame:
     )
 
 
+def mixed_documents(docs: DataFrame, seed: int = 1) -> DataFrame:
+    """The documents of the mix, all columns, with ``size``, ``source_size``, ``target`` and ``taken``.
+
+    Rows of which the mix takes no word are not in it. Columns of these four names in ``docs`` are replaced.
+    """
+    plan = taken(mix(docs, seed)).where("taken > 0")
+    # Rows that are equal in id and text share what was drawn for them.
+    plan = plan.groupBy("doc_id", "text_hash", "source").agg(
+        F.max("size").alias("size"), F.max("source_size").alias("source_size"), F.max("target").alias("target"),
+        F.sum("taken").alias("taken"), F.count("*").alias("_n"),
+    )
+    plan = plan.withColumn("taken", F.col("taken") / F.col("_n")).withColumn("taken", F.round("taken").cast("long"))
+    plan = plan.select(
+        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("source").alias("_source"), *ADDED
+    )
+    rows = docs.drop(*ADDED)
+    same = (
+        F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))
+        & (F.xxhash64(F.col("text").cast("string")) == F.col("_hash"))
+        & F.col("source").cast("string").eqNullSafe(F.col("_source"))
+    )
+    return rows.join(plan, same).select(*(F.col(f"`{c}`") for c in rows.columns), *ADDED)
+
+
 def mixed_blocks(docs: DataFrame, mixed: Mix) -> DataFrame:
     """The mix itself: ``shard, slot, source, block, turn, n_words, doc_ids, text`` per slot.
 

@@ -9,8 +9,9 @@ is compared on full sets.
 
 Texts with equal sets are one class and take part once. In a band, every class is first compared with the
 smallest of the band, so a band of thousands of near copies costs thousands of comparisons. What that leaves
-open (two classes of one band in different components) is compared by short sketches inside sorted batches,
-in blocks of bounded size; only pairs whose sketches are close leave the batch.
+open (two classes of one band in different components) is compared inside sorted batches, in blocks of bounded
+size: first by short sketches, then by the sets in 16 bits a shingle (of large sets a sample in 32). Only pairs
+that come out as links there leave the batch, so families of loosely similar texts make no rows.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ SLACK = 5.0
 # One byte of this many borrowed-in registers: a sketch that travels with the bands.
 SKETCH = 128
 BLOCK = 512
+# Sets up to this size travel whole, in 16 bits a shingle; larger ones as a sample of about half to all of it.
+WHOLE = 1024
 
 _REST = np.uint64((1 << 56) - 1)
 _M = np.uint64(0xD6E8FEB86659FD93)
@@ -128,9 +131,9 @@ def _signature_batches(width: int):
                 two.append(int(_signed(np.add.reduce(mix(s ^ _M), keepdims=True))[0]) if len(s) else 0)
                 regs.append(registers(s).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(size, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()),
-                 pa.array(regs, pa.binary())],
-                names=["doc_id", "n_shingles", "set_a", "set_b", "registers"],
+                [batch.column(0), batch.column(2), pa.array(size, pa.int64()), pa.array(one, pa.int64()),
+                 pa.array(two, pa.int64()), pa.array(regs, pa.binary())],
+                names=["doc_id", "text_hash", "n_shingles", "set_a", "set_b", "registers"],
             )
 
     return run
@@ -150,21 +153,56 @@ def _band_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(rep)], names=["band", "rep"])
 
 
-def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for lo in range(0, batch.num_rows, 1024):
-            part = batch.slice(lo, 1024)
-            _, sketch = band_keys(_as_registers(part.column(1)))
+def digests(distinct: np.ndarray, threshold: float) -> tuple[bytes | None, bytes | None]:
+    """A set in 16 bits a shingle, and a large set's sample in 32 bits; near ``WHOLE`` both are there."""
+    n = len(distinct)
+    whole = sample = None
+    if n <= WHOLE:
+        whole = np.unique((distinct >> np.uint64(8)).astype(np.uint16)).tobytes()
+    if n > threshold * WHOLE:
+        short = np.unique((distinct >> np.uint64(16)).astype(np.uint32))
+        sample = short[short <= _sample_limit(n)].tobytes()
+    return whole, sample
+
+
+def _sample_limit(n: int) -> int:
+    """Sampled are the 32-bit values up to this one; halved whenever a set's size doubles beyond ``WHOLE``."""
+    return ((1 << 32) >> max(0, (int(n) - 1).bit_length() - WHOLE.bit_length() + 1)) - 1
+
+
+def _digest_batches(threshold: float):
+    """Digests and sketches of the classes' sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [s.values.to_numpy().view(np.uint64) for s in batch.column(1)]
+            regs = np.stack([registers(s) for s in sets]) if sets else np.zeros((0, BUCKETS), np.uint16)
+            _, sketch = band_keys(regs)
+            made = [digests(s, threshold) for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(2), pa.array([r.tobytes() for r in sketch], pa.binary())],
-                names=["rep", "n_shingles", "sketch"],
-            )
+                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                 pa.array([r.tobytes() for r in sketch], pa.binary()),
+                 pa.array([w for w, _ in made], pa.binary()), pa.array([s for _, s in made], pa.binary())],
+                names=["rep", "n_shingles", "sketch", "whole", "sample"],
+            )
+
+    return run
+
+
+def linked_sizes(common: np.ndarray, a: int, b: np.ndarray, threshold: float) -> np.ndarray:
+    """Whether sets of ``a`` and ``b`` elements with so many 16-bit values in common may reach the threshold.
+
+    Two elements of one set may fall on one value, so a few are added to what they have in common.
+    """
+    merged = np.minimum(a, b).astype(float) ** 2 / (1 << 17)
+    return common + 1 + merged + 4 * np.sqrt(merged) >= threshold / (1 + threshold) * (a + b)
 
 
 def close_pairs(
-    sketch: np.ndarray, size: np.ndarray, component: np.ndarray, side: np.ndarray, threshold: float
-) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows in different components whose sizes and sketches allow the threshold.
+    sketch: np.ndarray, size: np.ndarray, component: np.ndarray, side: np.ndarray, whole: list[bytes | None],
+    sample: list[bytes | None], threshold: float,
+) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows in different components whose sizes, sketches and digests allow the threshold.
 
     ``side`` tells two blocks apart: rows of one side are compared with the other's, or all with all if there
     is one side only.
@@ -172,6 +210,8 @@ def close_pairs(
     least = (threshold - SLACK * (threshold * (1 - threshold) / SKETCH) ** 0.5) * SKETCH
     found = []
     both = len(side) and side.min() != side.max()
+    values = [np.frombuffer(w, np.uint16) if w is not None else None for w in whole]
+    marked = np.zeros(1 << 16, bool)
     for i in range(len(sketch) - 1):
         rest = slice(i + 1, None)
         ok = component[rest] != component[i]
@@ -180,13 +220,35 @@ def close_pairs(
             ok &= side[rest] != side[i]
         at = np.flatnonzero(ok) + i + 1
         if len(at):
-            near = at[(sketch[at] == sketch[i]).sum(1) >= least]
-            if len(near):
-                found.append(np.stack([np.full(len(near), i), near]))
+            at = at[(sketch[at] == sketch[i]).sum(1) >= least]
+        if not len(at):
+            continue
+        exact = np.array([values[i] is not None and values[j] is not None for j in at])
+        near = []
+        if exact.any():
+            others = at[exact]
+            marked[values[i]] = True
+            cuts = np.concatenate([[0], np.cumsum([len(values[j]) for j in others])[:-1]])
+            common = np.add.reduceat(marked[np.concatenate([values[j] for j in others])].astype(np.int64), cuts)
+            marked[values[i]] = False
+            near.append(others[linked_sizes(common, size[i], size[others], threshold)])
+        near.append(np.array([j for j in at[~exact] if _sampled_close(sample[i], sample[j], size[i], size[j], threshold)], int))
+        near = np.concatenate(near)
+        if len(near):
+            found.append(np.stack([np.full(len(near), i), near]))
     a, b = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
     return a, b
 
 
+def _sampled_close(a: bytes, b: bytes, n_a: int, n_b: int, threshold: float) -> bool:
+    limit = min(_sample_limit(n_a), _sample_limit(n_b))
+    one, two = (np.frombuffer(x, np.uint32) for x in (a, b))
+    one, two = one[one <= limit], two[two <= limit]
+    common = len(np.intersect1d(one, two, assume_unique=True))
+    union = max(len(one) + len(two) - common, 1)
+    return common / union >= threshold - SLACK * (threshold * (1 - threshold) / union) ** 0.5
+
+
 def _close_batches(threshold: float):
     """Close pairs of every run of rows with one key; rows come sorted by it, a run is a block or two."""
 
@@ -195,9 +257,13 @@ def _close_batches(threshold: float):
         cuts = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(1), [True]]))
         rep, size, component, side = (table.column(c).to_numpy() for c in ("rep", "n_shingles", "component", "side"))
         sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)
+        whole, sample = (table.column(c).to_pylist() for c in ("whole", "sample"))
         out = []
         for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-            a, b = close_pairs(sketch[lo:hi], size[lo:hi], component[lo:hi], side[lo:hi], threshold)
+            part = slice(lo, hi)
+            a, b = close_pairs(
+                sketch[part], size[part], component[part], side[part], whole[part], sample[part], threshold
+            )
             out.append(np.stack([rep[lo + a], rep[lo + b]]))
         ends = np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
         ends = np.unique(np.sort(ends, axis=0), axis=1)
@@ -250,14 +316,18 @@ def _set_batches(width: int):
 
 def signatures(docs: DataFrame, width: int = 5) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): set size, two sums that name the set, registers."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    text = F.col("text").cast("string")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
     return rows.mapInArrow(
-        _signature_batches(width), "doc_id long, n_shingles long, set_a long, set_b long, registers binary"
+        _signature_batches(width),
+        "doc_id long, text_hash long, n_shingles long, set_a long, set_b long, registers binary",
     )
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8) -> DataFrame:
-    """Component of every row of ``docs`` (doc_id, text): ``doc_id, n_shingles, component_id, kept, n_links``.
+    """Component of every row of ``docs`` (doc_id, text).
+
+    Columns ``doc_id, text_hash, n_shingles, component_id, kept, n_links``.
 
     Words lose the case of A-Z; a text's set holds its distinct runs of ``width`` words, or its whole word
     sequence if it has fewer. Two texts are linked when their sets' Jaccard similarity is ``threshold`` or
@@ -270,6 +340,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8) ->
     signed = materialize(signatures(docs, width), "signatures")
     of_set = ["set_a", "set_b", "n_shingles"]
     usable = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
+    usable = usable.drop("text_hash")
     first = F.row_number().over(Window.partitionBy(*of_set).orderBy("doc_id"))
     classes = usable.withColumn("_rank", first).where("_rank = 1").drop("_rank").withColumnRenamed("doc_id", "rep")
     classes = materialize(classes, "classes")
@@ -283,7 +354,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8) ->
     links = materialize(_verified(stars, classes, sets, threshold), "near-links")
     joined_up = components(links)
     rest = materialize(
-        _verified(_open_pairs(shared, classes, joined_up, threshold), classes, sets, threshold), "near-links"
+        _verified(_open_pairs(shared, sets, joined_up, threshold), classes, sets, threshold), "near-links"
     )
     if not rest.isEmpty():
         links = links.unionByName(rest).distinct()
@@ -302,6 +373,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8) ->
     component = F.when(F.col("doc_id").isNotNull(), component)
     return out.select(
         "doc_id",
+        "text_hash",
         "n_shingles",
         component.alias("component_id"),
         F.col("doc_id").eqNullSafe(component).alias("kept"),
@@ -334,7 +406,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame, threshold:
     return both.where(common * 100 >= union * per_cent).select("a", "b").distinct()
 
 
-def _open_pairs(shared: DataFrame, classes: DataFrame, done: DataFrame, threshold: float) -> DataFrame:
+def _open_pairs(shared: DataFrame, sets: DataFrame, done: DataFrame, threshold: float) -> DataFrame:
     """Pairs that stars leave open: close classes of one band in different components.
 
     A band of more than ``BLOCK`` classes is dealt into blocks, and every two blocks meet apart, so no task
@@ -349,8 +421,8 @@ def _open_pairs(shared: DataFrame, classes: DataFrame, done: DataFrame, threshol
         .where("lo <> hi")
         .select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     )
-    sketches = classes.select("rep", "registers", "n_shingles").mapInArrow(
-        _sketch_batches, "rep long, n_shingles long, sketch binary"
+    sketches = sets.mapInArrow(
+        _digest_batches(threshold), "rep long, n_shingles long, sketch binary, whole binary, sample binary"
     )
     own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     rows = named.join(mixed, "band").withColumn("own", own)
@@ -359,6 +431,20 @@ def _open_pairs(shared: DataFrame, classes: DataFrame, done: DataFrame, threshol
         "band", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "rep", "component",
         F.col("own").alias("side"),
     )
-    keyed = rows.join(sketches, "rep").select("band", "p", "q", "rep", "component", "side", "n_shingles", "sketch")
+    keyed = rows.join(sketches, "rep").select("band", "p", "q", "rep", "component", "side", "n_shingles", "sketch",
+                                           "whole", "sample")
     keyed = keyed.repartition("band", "p", "q").sortWithinPartitions("band", "p", "q")
     return keyed.mapInArrow(_close_batches(threshold), "a long, b long").distinct()
+
+
+def keep_one(docs: DataFrame, width: int = 5, threshold: float = 0.8) -> DataFrame:
+    """``docs``, all columns, with one row of every component: that with the smallest doc_id.
+
+    Of rows that share doc_id and text one stays. Rows without a set or without a doc_id all stay but for such
+    repeats.
+    """
+    name = F.coalesce(F.concat(F.lit("d"), F.col("doc_id").cast("long").cast("string")), F.lit(""))
+    kept = near_duplicates(docs, width, threshold).where("kept").select(name.alias("_name"), F.col("text_hash").alias("_hash"))
+    rows = docs.withColumn("_name", name).withColumn("_hash", F.xxhash64(F.col("text").cast("string")))
+    rows = rows.join(kept.distinct(), ["_name", "_hash"], "left_semi").dropDuplicates(["_name", "_hash"])
+    return rows.select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from meridia.llm import (
     chat_format,
     decontaminate,
@@ -16,6 +17,7 @@ from meridia.llm import (
     quality_rules,
     url_filter,
     url_lists,
+    warc,
 )
 from meridia.llm.registry import ORACLES, QUERIES, query, table
 
@@ -24,7 +26,7 @@ __all__ = ["ORACLES", "QUERIES"]
 
 @query("op8_near_dedup")
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=2, threshold=0.8)
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=2, threshold=0.8).drop("text_hash")
 
 
 @query("op4_benchmark_decontamination")
@@ -138,3 +140,24 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
     return chat_format.read_back(chat_format.format_chat(turns, *_tokenizer()), *_tokenizer())
+
+
+_WARC_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+d AS (SELECT page_id, octet_length(body)::BIGINT AS payload_bytes, sha1(body) AS payload_digest FROM p),
+w AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS newest FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> newest THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> newest THEN newest END AS refers_to
+FROM w
+"""
+
+
+@query("op6_warc", _WARC_SQL)
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages")).drop("url", "payload")
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
