@@ -22,8 +22,8 @@ def slug(name: Column) -> Column:
 
 
 def signed(value: Column, places: int = 4) -> Column:
-    """Fixed-point text that always shows its sign."""
-    text = F.format_string(f"%.{places}f", F.abs(value))
+    """Decimal text that always shows its sign, without zeros at the end but for one place."""
+    text = F.regexp_replace(F.format_string(f"%.{places}f", F.abs(value)), r"(\.\d+?)0+$", "$1")
     return F.concat(F.when(value >= 0, F.lit("+")).otherwise(F.lit("-")), text)
 
 

@@ -22,9 +22,10 @@ _ERROR = 0.0005
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], small: int = _SMALL
 ) -> dict[str, list[float | None]]:
-    """Linear-interpolation quantiles (position ``(n - 1) * p``) of each column, nulls left out."""
+    """Linear-interpolation quantiles (position ``(n - 1) * p``) of each column, nulls and NaN left out."""
     names = [f"q{i}" for i in range(len(columns))]
-    narrow = df.select(*[(F.col(f"`{c}`").cast("double") + F.lit(0.0)).alias(n) for c, n in zip(columns, names)])
+    values = [F.col(f"`{c}`").cast("double") + F.lit(0.0) for c in columns]
+    narrow = df.select(*[F.when(~F.isnan(v), v).alias(n) for v, n in zip(values, names)])
     narrow = narrow.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         found = _locate(narrow, names, list(probabilities), small)
@@ -116,5 +117,6 @@ def _select(df, names, probabilities, sizes, targets, brackets) -> list[list[flo
             low = next(v for a, b, v in spans if a <= first < b)
             high = next(v for a, b, v in spans if a <= last < b)
             at = (sizes[name] - 1) * probabilities[slot]
-            result[names.index(name)][slot] = low + (high - low) * (at - first)
+            # Equal ends need no step, which between infinities would be none.
+            result[names.index(name)][slot] = low if low == high else low + (high - low) * (at - first)
     return result

@@ -145,6 +145,9 @@ def adasyn(
     if not weights.where(F.col("copies") > 0).take(1):
         raise ValueError("no row of a smaller class has a neighbour of another class; use SMOTE")
     classes = [r[0] for r in weights.select(label).distinct().collect()]
+    lone = [c for c, n in _class_sizes(df, label).items() if c in classes and n < 2]
+    if lone:
+        raise ValueError(f"classes of one row have no neighbour of their own: {lone}")
     minority = df.where(F.col(label).isin(classes)).select(key, label, vector)
     near = knn_join(minority, key, vector, neighbors, group=label)
     dealt = weights.select(key, label, "copies").join(minority.select(key, vector), key)

@@ -157,7 +157,9 @@ class SoftmaxBooster(Estimator):
         n = sum(counts.values())
         # a class's first score is the logarithm of its share; one that is absent starts far below
         start = [math.log(counts[i] / n) if i in counts else -30.0 for i in range(k)]
-        rows = dataset.select(self.key, "features", "label_index", *[F.lit(v).alias(s) for v, s in zip(start, scores)])
+        # only a share of the rows per round needs their key
+        keys = [self.key] if self.share < 1.0 else []
+        rows = dataset.select(*keys, "features", "label_index", *[F.lit(v).alias(s) for v, s in zip(start, scores)])
         rows = materialize(rows, "boosting")
         grown: list[list[BoostedTree]] = []
         for at in range(self.n_rounds):
@@ -174,7 +176,7 @@ class SoftmaxBooster(Estimator):
             rows = round_rows
             for tree, score in zip(trees, scores):
                 rows = tree.advance(rows, score)
-            rows = rows.select(self.key, "features", "label_index", *scores)
+            rows = rows.select(*keys, "features", "label_index", *scores)
             grown.append(trees)
             if (at + 1) % WRITE_EVERY == 0 and at + 1 < self.n_rounds:
                 rows = materialize(rows, "boosting")

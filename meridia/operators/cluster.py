@@ -207,20 +207,14 @@ def _ward(centers: np.ndarray, weights: np.ndarray, k: int) -> list[int]:
 def hierarchical(
     df: DataFrame, k: int, array: str, key: str, micro: int = MICRO_CLUSTERS, seed: int = 42, out: str = "cluster"
 ) -> DataFrame:
-    """Ward clusters. Up to ``micro`` distinct rows are merged exactly; a larger table is first brought
-    to ``micro`` weighted centres by K-means on the cluster, and only those are merged.
+    """Ward clusters: K-means brings a table of any size to at most ``micro`` weighted centres on the
+    cluster, and those are merged.
     """
-    sites = df.groupBy(F.col(array).alias("x")).agg(F.count(F.lit(1)).alias("w"), F.min(key).alias("rep"))
-    few = sites.orderBy("rep").limit(micro + 1).collect()
-    if len(few) <= micro:
-        centers = np.array([r["x"] for r in few], dtype=float)
-        weights = np.array([r["w"] for r in few])
-    else:
-        model = KMeans(k=micro, seed=seed, featuresCol="__v").fit(as_vectors(df, array, "__v"))
-        sizes = model.summary.clusterSizes
-        used = [i for i, n in enumerate(sizes) if n]
-        centers = np.array([model.clusterCenters()[i] for i in used])
-        weights = np.array([sizes[i] for i in used])
+    model = KMeans(k=micro, seed=seed, featuresCol="__v").fit(as_vectors(df, array, "__v"))
+    sizes = model.summary.clusterSizes
+    used = [i for i, n in enumerate(sizes) if n]
+    centers = np.array([model.clusterCenters()[i] for i in used])
+    weights = np.array([sizes[i] for i in used])
     owner = _ward(centers, weights, k)
     placed = assign_to_centers(df, dict(enumerate(centers.tolist())), array, out="__micro").drop("squared_distance")
     listed = F.array(*[F.lit(o) for o in owner])
@@ -243,4 +237,5 @@ def elbow_sweep(
         else:
             score = silhouette_squared(placed)
         rows.append((k, float(cost), float(score), metric))
+    vectors.unpersist()
     return df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double, metric string")

@@ -77,14 +77,17 @@ def validation_curve(
     rest = {k: v for k, v in params.items() if k != swept}
     folds = sorted(r[0] for r in train.select(fold).distinct().collect())
     inner = shape.with_rows(1 - 1 / len(folds))
-    cached = train.persist()
+    level = train.storageLevel
+    own = not (level.useMemory or level.useDisk)  # a cache the caller made stays the caller's
+    cached = train.persist() if own else train
     rows = []
     for i in folds:
         judged = cached.withColumn("side", F.when(F.col(fold) == i, "validation").otherwise("train"))
         for point, value in enumerate(values):
             made = models.fit(cached.where(F.col(fold) != i), name, {**rest, swept: value}, label, inner, seed)
             rows += [(point, float(value), int(i), s, f, c) for s, f, c in _both_sides(made, judged, label)]
-    cached.unpersist()
+    if own:
+        cached.unpersist()
     return train.sparkSession.createDataFrame(rows, _CURVE)
 
 
@@ -129,7 +132,7 @@ def network_progress(
     tolerance: float = 1e-4,
     seed: int = 42,
 ) -> DataFrame:
-    """Training loss and hold-out accuracy after every ``step`` iterations, until accuracy stops rising.
+    """Training loss of every iteration, and hold-out accuracy after every ``step`` of them, until it stops rising.
 
     Training goes on from the weights reached so far; only weights and two numbers reach the driver.
     """
@@ -149,10 +152,12 @@ def network_progress(
         model = estimator.fit(fitting)
         weights = model.weights
         losses = model.summary().objectiveHistory
+        # the first entry of a continued run is the last one of the run before
+        out += [(done + i, float(v), None) for i, v in enumerate(losses) if i or not done]
         done += max(1, len(losses) - 1)
         hit = (F.col("prediction") == F.col("label_index")).cast("double")
         accuracy = model.transform(judging).agg(F.avg(hit)).first()[0]
-        out.append((done, float(losses[-1]), accuracy))
+        out[-1] = (out[-1][0], float(losses[-1]), accuracy)
         stale = 0 if accuracy is not None and accuracy > best + tolerance else stale + 1
         best = max(best, accuracy or 0.0)
         if len(losses) <= 1:

@@ -8,12 +8,10 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_LEVELS = 10_000
-
 
 def typed_columns(df: DataFrame, leave_out: Sequence[str] = ()) -> tuple[list[str], list[str]]:
     """Names of numeric (with boolean) and of text columns, in table order."""
@@ -59,12 +57,9 @@ def fit_scaling(train: DataFrame, columns: Sequence[str]) -> Scaling:
     return Scaling({c: row[f"m_{c}"] for c in columns}, {c: row[f"s_{c}"] or 1.0 for c in columns})
 
 
-def levels(df: DataFrame, column: str, limit: int = MAX_LEVELS) -> list[str]:
-    """Sorted distinct values of a category column. Too many levels is an error, not a truncation."""
-    found = [r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()]
-    if len(found) > limit:
-        raise ValueError(f"`{column}` has more than {limit} levels; it is no category")
-    return sorted(found)
+def levels(df: DataFrame, column: str) -> list[str]:
+    """Sorted distinct values of a category column, for what makes one column per level."""
+    return sorted(r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().collect())
 
 
 def one_hot(df: DataFrame, column: str, known: Sequence[str], prefix: str = "") -> DataFrame:
@@ -75,8 +70,12 @@ def one_hot(df: DataFrame, column: str, known: Sequence[str], prefix: str = "")
 
 
 def label_encode(df: DataFrame, label: str, out: str = "label_index", classes: Sequence[str] | None = None) -> DataFrame:
-    """Labels to 0..K-1 in sorted order."""
-    return df.withColumn(out, class_index(F.col(label), classes or levels(df, label)))
+    """Labels to 0..K-1 in sorted order; without a class list by a dictionary joined to the rows."""
+    if classes is not None:
+        return df.withColumn(out, class_index(F.col(label), classes))
+    known = df.select(F.col(label).alias("__level")).where("__level IS NOT NULL").distinct()
+    known = known.withColumn(out, F.row_number().over(Window.orderBy("__level")) - 1)
+    return df.drop(out).join(known, F.col(label) == F.col("__level"), "left").drop("__level")
 
 
 def class_index(label: Column, classes: Sequence) -> Column:

@@ -26,16 +26,27 @@ def pair_counts(df: DataFrame, label: str = "y", pred: str = "pred", by: Sequenc
 def confusion_matrix(
     df: DataFrame, classes: Sequence, label: str = "y", pred: str = "pred", by: Sequence[str] = ()
 ) -> DataFrame:
-    """One row per (group, actual, predicted) cell in the given class order, empty cells included."""
+    """One row per (group, actual, predicted) cell in the given class order, empty cells included.
+
+    Labels and predictions outside the list, null ones too, are counted as null, last in the order; such
+    cells are there only where there are such rows, so the counts always add up to the rows.
+    """
     listed = F.array(*[F.lit(c) for c in classes])
-    counts = pair_counts(df, label, pred, by)
+    inside = [F.when(F.col(c).isin(list(classes)), F.col(c)).alias(c) for c in ("y", "pred")]
+    counts = pair_counts(df, label, pred, by).select(*by, *inside, "n")
+    counts = counts.groupBy(*by, "y", "pred").agg(F.sum("n").alias("n"))
     grid = (
         counts.select(*by)
         .distinct()
         .select(*by, F.posexplode(listed).alias("actual_order", "y"))
         .select("*", F.posexplode(listed).alias("predicted_order", "pred"))
     )
-    cells = grid.join(counts, [*by, "y", "pred"], "left")
+    order = [
+        F.coalesce(F.array_position(listed, F.col(c)) - 1, F.lit(len(classes))).cast("int").alias(o)
+        for c, o in (("y", "actual_order"), ("pred", "predicted_order"))
+    ]
+    other = counts.where("y IS NULL OR pred IS NULL").select(*by, order[0], "y", order[1], "pred", "n")
+    cells = grid.join(counts, [*by, "y", "pred"], "left").unionByName(other)
     return cells.select(
         *by,
         F.col("y").alias("actual"),
@@ -203,6 +214,7 @@ def roc_interpolated(curve: DataFrame, points: int = 200, by: Sequence[str] = ()
             F.max("tpr").alias("last_tpr"),
         )
     )
+    sides = curve.groupBy(*by).agg(F.min(F.least("total_pos", "total_neg")).alias("least"))
     grid = spans.select(*keys).distinct().select(*keys, F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i"))
     along = Window.partitionBy(*keys).orderBy("i")
     upto = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -218,9 +230,13 @@ def roc_interpolated(curve: DataFrame, points: int = 200, by: Sequence[str] = ()
     x = F.col("i") / step
     slope = F.try_divide(F.col("y1") - F.col("y0"), F.col("x1") - F.col("x0"))
     tpr = F.coalesce(F.col("y0") + slope * (x - F.col("x0")), F.col("y0"))
-    return ends.select(*by, F.col("i").alias("point"), x.alias("fpr"), tpr.alias("tpr")).groupBy(
+    mean = ends.select(*by, F.col("i").alias("point"), x.alias("fpr"), tpr.alias("tpr")).groupBy(
         *by, "point", "fpr"
     ).agg(F.avg("tpr").alias("tpr"))
+    # As with the area: a class with rows on one side only has no curve, so the mean has none.
+    sides = sides.withColumn("__all", F.lit(0))
+    mean = mean.withColumn("__all", F.lit(0)).join(sides, [*by, "__all"])
+    return mean.select(*by, "point", "fpr", F.when(F.col("least") > 0, F.col("tpr")).alias("tpr"))
 
 
 def calibration_curve(

@@ -73,14 +73,17 @@ class FourierFeatures(Transformer, HasInputCol, HasOutputCol, HasSeed):
 
     gamma = Param(Params._dummy(), "gamma", "kernel width", TypeConverters.toFloat)
     components = Param(Params._dummy(), "components", "number of random features", TypeConverters.toInt)
+    width = Param(Params._dummy(), "width", "number of input features", TypeConverters.toInt)
 
     @keyword_only
-    def __init__(self, *, inputCol="features", outputCol="kernel_features", gamma=1.0, components=256, seed=42):
+    def __init__(self, *, width, inputCol="features", outputCol="kernel_features", gamma=1.0, components=256, seed=42):
         super().__init__()
-        self._set(inputCol=inputCol, outputCol=outputCol, gamma=gamma, components=components, seed=seed)
+        self._set(
+            inputCol=inputCol, outputCol=outputCol, gamma=gamma, components=components, width=width, seed=seed
+        )
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        p = len(dataset.select(self.getInputCol()).first()[0])
+        p = self.getOrDefault(self.width)
         rng = np.random.default_rng(self.getSeed())
         m = self.getOrDefault(self.components)
         directions = rng.standard_normal((p, m)) * math.sqrt(2 * self.getOrDefault(self.gamma))
@@ -142,6 +145,9 @@ def _refuse(name: str, left: Mapping[str, Any]) -> None:
 
 
 def _depth(value: int | None) -> int:
+    """Depth of a tree; none means as deep as Spark allows, and more than that is refused."""
+    if value is not None and int(value) > UNLIMITED_DEPTH:
+        raise ValueError(f"trees can be {UNLIMITED_DEPTH} levels deep at most")
     return UNLIMITED_DEPTH if value is None else int(value)
 
 
@@ -195,7 +201,7 @@ def build_estimator(name: str, params: Mapping[str, Any], shape: Shape, seed: in
             gamma = 1.0 / (shape.n_features * (shape.variance or 1.0))
         elif gamma == "auto":
             gamma = 1.0 / shape.n_features
-        kernel = FourierFeatures(gamma=float(gamma), components=int(left.pop("components", 256)), seed=seed)
+        kernel = FourierFeatures(width=shape.n_features, gamma=float(gamma), components=int(left.pop("components", 256)), seed=seed)
         svm = _one_vs_rest_svm(left, shape, {**columns, "featuresCol": "kernel_features"})
         made = Pipeline(stages=[kernel, svm])
     elif name == NETWORK:

@@ -103,16 +103,22 @@ def isolation_trees(
 ) -> DataFrame:
     """One row per node. Each tree sees its own hash sample, so no task holds more than ``sample`` rows.
 
-    Only a pool of rows, fixed in size by the forest, is spread over the trees.
+    Every row of the table may be drawn: a hash says how many trees it is offered to, so that each tree is
+    offered about half again as many rows as it takes, and other hashes say which. A row offered to no
+    tree, in a large table nearly all, costs one hash.
     """
-    pool_size = 40 * sample
     values = F.array(*[F.col(c).cast("double") for c in columns])
+    each = min(1.0, (1.5 * sample + 60) / max(1, df.count())) * trees
+    draw = F.pmod(F.xxhash64(F.lit(f"{seed}:offers"), F.col(key)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    offers = F.least(F.lit(trees), F.floor(F.lit(each) + draw).cast("int"))
+    places = F.transform(
+        F.sequence(F.lit(0), F.lit(trees - 1)),
+        lambda t: F.struct(F.xxhash64(F.lit(f"{seed}:tree"), t, F.col("id")).alias("h"), t.alias("tree")),
+    )
     pool = (
-        df.select(F.col(key).alias("id"), values.alias("x"), hash_int(hash_key(f"{seed}:pool", key)).alias("h"))
-        .orderBy("h", "id")
-        .limit(pool_size)
-        .select("id", "x", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
-        .withColumn("h", hash_int(hash_key(f"{seed}:tree", F.col("tree"), F.col("id"))))
+        df.select(F.col(key).alias("id"), values.alias("x"), offers.alias("offers"))
+        .where("offers > 0")
+        .select("id", "x", F.inline(F.slice(F.sort_array(places), F.lit(1), F.col("offers"))))
     )
     ranked = pool.withColumn("rn", F.row_number().over(Window.partitionBy("tree").orderBy("h", "id")))
 

@@ -50,64 +50,19 @@ def class_reports(report: DataFrame, headings: Mapping[str, Sequence[str]]) -> D
     return as_lines(report, lines)
 
 
-def wilcoxon_lines(
-    tests: DataFrame, means: Mapping[str, float], reference: str, alpha: float = 0.05
-) -> list[str]:
-    """The signed-rank table. The closing line says what the p-values allow, no more."""
-    lines = [
-        RULE,
-        "WILCOXON SIGNED-RANK TEST",
-        f"Reference (best): {reference}  (mean CV F1 = {means[reference]:.4f})",
-        RULE,
-        "",
-        "H0: the reference is not better than the other model.",
-        "H1: the reference has higher fold scores (one-sided).",
-        f"Significance level: alpha = {alpha}",
-        "",
-        f"{'Model':<30} {'Mean F1':>8} {'Statistic':>12} {'p-value':>12} {'Significant?':>14}",
-        "-" * 80,
-    ]
-    rows = {r["model"]: r for r in tests.collect()}
-    beaten = []
-    for model, mean in means.items():
-        if model == reference:
-            continue
-        r = rows.get(model)
-        if r is None or r["p_value"] is None:
-            lines.append(f"{model:<30} {mean:>8.4f} {'N/A (tied)':>12} {'N/A':>12} {'No':>14}")
-            continue
-        shown = "YES" if r["significant"] else "No"
-        lines.append(f"{model:<30} {mean:>8.4f} {r['statistic']:>12.3f} {r['p_value']:>12.4f} {shown:>14}")
-        if r["significant"]:
-            beaten.append(model)
-    verdict = f"better than {', '.join(beaten)}" if beaten else "not significantly better than any other model"
-    return [*lines, "", f"Conclusion: '{reference}' has the best search score and is {verdict}."]
-
-
-def mcnemar_lines(test: Row, first: str, second: str, alpha: float = 0.05) -> list[str]:
-    return [
-        RULE,
-        "McNEMAR'S TEST",
-        f"First model : {first}",
-        f"Second model: {second}",
-        RULE,
-        "",
-        "H0: both classifiers err at the same rate.",
-        "H1: their error rates differ.",
-        f"Significance level: alpha = {alpha}  (exact binomial test)",
-        "",
-        "Contingency table:",
-        f"  Both correct               (a): {test['both_right']:>4}",
-        f"  First wrong, second right  (b): {test['only_second_right']:>4}",
-        f"  First right, second wrong  (c): {test['only_first_right']:>4}",
-        f"  Both wrong                 (d): {test['both_wrong']:>4}",
-        "",
-        f"McNemar statistic : {test['statistic']:.4f}",
-        f"p-value (exact)   : {test['p_value']:.4f}",
-        f"Significant       : {'YES' if test['significant'] else 'No'}",
-        "",
-        f"Verdict: {test['verdict']}",
-    ]
+def paired_scores_section(tests: DataFrame, reference: str) -> list[str]:
+    """The signed-rank tests of one model against all others, and how many of them it wins."""
+    won = sorted(r["model"] for r in tests.where("significant = 1").select("model").collect())
+    said = f"{reference} scores higher than {', '.join(won)}." if won else f"{reference} beats no other model for sure."
+    shown = ["model", "pairs", "used", "statistic", "p_value", "significant"]
+    return [*plain_table(tests, shown, "model"), f"Fold scores of {reference} against each model, one-sided.", said]
+
+
+def error_rates_section(test: DataFrame, first: str, second: str) -> list[str]:
+    """The paired comparison of two models' errors on the same rows."""
+    winner = {"first": first, "second": second}.get(test.first()["verdict"])
+    said = f"{winner} makes fewer errors." if winner else "Their error rates can't be told apart."
+    return [*plain_table(test, test.columns), f"{first} (first) and {second} (second) on the same rows.", said]
 
 
 def preparation_report(nulls: DataFrame, balance: DataFrame, shape: Sequence[tuple[str, int]]) -> DataFrame:

@@ -32,7 +32,10 @@ EARLIER_BOOSTER = {
     "subsample": 1.0,
     "min_samples_split": 2,
 }
-EUCLIDEAN_ROWS = 20_000
+
+
+# Tables with one or more lines per row of data: written by as many tasks as they have.
+ROW_TABLES = ("shap_points", "pca_clusters")
 
 
 @dataclass(frozen=True)
@@ -58,7 +61,9 @@ def build_dataset(
     seed: int = 42,
 ) -> Dataset:
     """Split by class, scale and encode as learned on the training rows, balance those rows, deal folds."""
-    encode.split_features_and_target(features, target)
+    names, _ = encode.split_features_and_target(features, target)
+    # What the readings go through is computed once; the split, its ranks and the classes read the result.
+    features = materialize(features.select(*names, target), "features")
     sides = materialize(split.stratified_split(features, target, key, test_share, seed), "split")
     numeric, texts = encode.typed_columns(sides, [target, key, "split", *exclude])
     prepared = encode.fit_preprocessor(sides.where("split = 'train'"), numeric, texts)
@@ -153,8 +158,10 @@ def retrain_compare(
     return stats.mcnemar_test(stats.mcnemar_table(paired, "label", "pred_first", "pred_second"))
 
 
-def earlier_results(df: DataFrame) -> DataFrame:
-    rows = [(m, *v) for m, v in EARLIER_RESULTS.items()]
+def earlier_results(
+    df: DataFrame, baseline: Mapping[str, tuple[float, float, float]] | None = None
+) -> DataFrame:
+    rows = [(m, *v) for m, v in (EARLIER_RESULTS if baseline is None else baseline).items()]
     return df.sparkSession.createDataFrame(rows, "model string, cv_f1_macro double, accuracy double, f1_macro double")
 
 
@@ -166,16 +173,15 @@ def unsupervised(
     k: int = 3,
     starts: int = 10,
     seed: int = 42,
+    metric: str = "squared",
 ) -> dict[str, DataFrame]:
     """K sweep on the training rows; final clusters, their silhouettes and a projection of ``df``.
 
-    Silhouettes are Euclidean up to a stated number of rows; beyond it the squared-distance form is
-    used, whose work is linear. The ``metric`` column says which.
+    Silhouettes use squared distances at every size, whose work is linear; ``metric="euclidean"`` asks for
+    the other form, whose work grows with the square of the rows.
     """
     to_array = vector_to_array("features")
     fit_rows = train.select(key, to_array.alias("x"))
-    few = fit_rows.limit(EUCLIDEAN_ROWS + 1).count() <= EUCLIDEAN_ROWS
-    metric = "euclidean" if few else "squared"
     sweep = cluster.elbow_sweep(fit_rows, ks, "x", key, starts, seed, metric)
     rows = df.select(key, "label", "features").withColumn("x", to_array).persist()
     _, _, by_kmeans = cluster.kmeans(rows, k, starts=starts, seed=seed, out="kmeans_cluster")
@@ -184,7 +190,7 @@ def unsupervised(
     points = materialize(encode.label_encode(projected, "label"), "clusters")
     scores = []
     for name, column in (("K-Means", "kmeans_cluster"), ("Agglomerative", "ward_cluster")):
-        if few:
+        if metric == "euclidean":
             each = cluster.silhouette_euclidean(points, key, "x", column)
             value = each.agg(F.avg("silhouette")).first()[0]
         else:
@@ -254,10 +260,15 @@ def random_study(
     shares: Sequence[float] = tuple(curves.LEARNING_SHARES),
     rates: Sequence[float] = tuple(curves.LEARNING_RATES),
     earlier_booster: Mapping[str, Any] | None = None,
+    baseline: Mapping[str, tuple[float, float, float]] | None = None,
     exclude: Sequence[str] = (),
     seed: int = 42,
 ) -> Study:
-    """Feature selection, random search over five shared folds, tests, explanations, comparison."""
+    """Feature selection, random search over five shared folds, tests, explanations, comparison.
+
+    ``baseline`` has the earlier scores to compare with per model (search F1, accuracy, F1); by default those
+    of the published grid study.
+    """
     dataset = build_dataset(features, target, key, folds=5, exclude=exclude, seed=seed)
     chosen = explain.select_features(dataset.train, dataset.names, factor=factor, seed=seed)
     cut = Dataset(
@@ -274,7 +285,7 @@ def random_study(
     made.tables["feature_selection"] = tables.topk(chosen.table, "importance", 25, "feature")
     metrics_compared = ["cv_f1_macro", "accuracy", "f1_macro"]
     made.tables["comparison"] = tables.phase_comparison(
-        made.results, earlier_results(made.results), metrics_compared, "f1_macro"
+        made.results, earlier_results(made.results, baseline), metrics_compared, "f1_macro"
     )
     classes = next(iter(made.fitted.values())).classes
     probabilities = {c: f"p_{c}" for c in classes}
@@ -329,12 +340,10 @@ def report(made: Study) -> DataFrame:
         table = made.tables["comparison"]
         sections["Comparison with the earlier study"] = reports.plain_table(table, table.columns, "model")
     if "wilcoxon" in made.tables:
-        rows = metrics.fold_summary(made.tables["fold_scores"], ["model"]).collect()
-        means = {r["model"]: r["score_mean"] for r in rows}
-        sections["Signed-rank test"] = reports.wilcoxon_lines(made.tables["wilcoxon"], means, best["model"])
+        sections["Fold scores compared"] = reports.paired_scores_section(made.tables["wilcoxon"], best["model"])
     if "mcnemar" in made.tables:
-        test = made.tables["mcnemar"].first()
-        sections["McNemar test"] = reports.mcnemar_lines(test, f"{models.BOOSTING} (earlier)", best["model"])
+        earlier = f"{models.BOOSTING} (earlier)"
+        sections["Errors compared"] = reports.error_rates_section(made.tables["mcnemar"], earlier, best["model"])
     if "clustering_results" in made.tables:
         table = made.tables["clustering_results"]
         sections["Clusterings"] = reports.plain_table(table, table.columns)
@@ -355,7 +364,7 @@ def write_study(made: Study, path: str) -> None:
         made.dataset.prepared.apply(made.dataset.raw), f"{root}/inputs", "processed"
     )
     for name, table in made.tables.items():
-        writers.write_table(table, f"{root}/{name}")
+        writers.write_table(table, f"{root}/{name}", single_file=name not in ROW_TABLES)
     headings = {
         n: [f"Best params: {s.best.params}", f"CV F1: {s.best_score:.4f}"] for n, s in made.searches.items()
     }

@@ -9,12 +9,20 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Documented schema of the raw hourly files, in the order of their columns.
-HOURLY_DDL = (
-    "datetime_utc timestamp_ntz, country string, zone_name string, zone_id string, carbon_direct double, "
-    "carbon_lifecycle double, cfe_percent double, re_percent double, data_source string, "
-    "data_estimated boolean, data_estimation_method string"
-)
+# Documented headers of the raw hourly files; beside them our names and types.
+HOURLY_COLUMNS = {
+    "Datetime (UTC)": ("datetime_utc", "timestamp_ntz"),
+    "Country": ("country", "string"),
+    "Zone name": ("zone_name", "string"),
+    "Zone id": ("zone_id", "string"),
+    "Carbon intensity gCO₂eq/kWh (direct)": ("carbon_direct", "double"),
+    "Carbon intensity gCO₂eq/kWh (Life cycle)": ("carbon_lifecycle", "double"),
+    "Carbon-free energy percentage (CFE%)": ("cfe_percent", "double"),
+    "Renewable energy percentage (RE%)": ("re_percent", "double"),
+    "Data source": ("data_source", "string"),
+    "Data estimated": ("data_estimated", "boolean"),
+    "Data estimation method": ("data_estimation_method", "string"),
+}
 
 
 def require_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -26,12 +34,27 @@ def require_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def read_csv(
-    spark: SparkSession, path: str | Sequence[str], schema: str | None = None, required: Sequence[str] = ()
+    spark: SparkSession,
+    path: str | Sequence[str],
+    columns: Mapping[str, tuple[str, str]] | None = None,
+    required: Sequence[str] = (),
 ) -> DataFrame:
-    """Header CSV. A declared schema reads the data once; without one the types are inferred."""
-    reader = spark.read.option("header", True)
-    reader = reader.schema(schema).option("enforceSchema", True) if schema else reader.option("inferSchema", True)
-    return _checked(lambda: reader.csv(path if isinstance(path, str) else list(path)), path, required)
+    """Header CSV. ``columns`` maps headers to a name and a type; without it the types are inferred.
+
+    Columns are found by their header, wherever they stand; a header that is absent, from any of the files, is
+    an error, and so is a value that does not fit its type. Our own names are taken as headers too.
+    """
+    paths = path if isinstance(path, str) else list(path)
+    reader = spark.read.option("header", True).option("enforceSchema", False)
+    if columns is None:
+        return _checked(lambda: reader.option("inferSchema", True).csv(paths), path, required)
+    found = _checked(lambda: reader.csv(paths), path, ())
+    by_name = {h if h in found.columns or name not in found.columns else name: (name, kind)
+               for h, (name, kind) in columns.items()}
+    require_columns(found, list(by_name))
+    chosen = [F.col(f"`{h}`").cast(kind).alias(name) for h, (name, kind) in by_name.items()]
+    file_name = F.col("_metadata.file_name").alias("source_file")
+    return require_columns(found.select(*chosen, file_name), required)
 
 
 def read_parquet(spark: SparkSession, path: str, required: Sequence[str] = ()) -> DataFrame:
@@ -49,7 +72,7 @@ def _checked(load, path, required) -> DataFrame:
 
 def read_hourly(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """All yearly files in one scan, each row tagged with the name of its file."""
-    return read_csv(spark, paths, HOURLY_DDL).select("*", F.col("_metadata.file_name").alias("source_file"))
+    return read_csv(spark, paths, HOURLY_COLUMNS)
 
 
 def union_tagged(parts: Mapping[str, DataFrame], tag: str = "source_file") -> DataFrame:

@@ -30,9 +30,12 @@ def write_split(
         writer.parquet(target)
 
 
-def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """A result table (one row per model, fold, point ...) as a single headed CSV file."""
-    df.coalesce(1).write.mode(mode).option("header", True).csv(path)
+def write_table(df: DataFrame, path: str, mode: str = "overwrite", single_file: bool = True) -> None:
+    """A result table (one row per model, fold, point ...) as a single headed CSV file.
+
+    Tables that grow with the rows of data are written with ``single_file=False``, a file per task.
+    """
+    (df.coalesce(1) if single_file else df).write.mode(mode).option("header", True).csv(path)
 
 
 def write_report(lines: DataFrame, path: str, mode: str = "overwrite") -> None:

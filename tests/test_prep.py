@@ -118,8 +118,9 @@ def test_roles_labels_and_levels(spark):
     with pytest.raises(ValueError, match="not found"):
         encode.split_features_and_target(df, "missing")
     assert [r["k"] for r in encode.label_encode(df, "y", "k").orderBy("i").collect()] == [1, 0]
-    with pytest.raises(ValueError, match="more than 1 levels"):
-        encode.levels(df, "y", limit=1)
+    assert encode.levels(df, "y") == ["a", "b"]
+    many = df.sparkSession.range(12_000).select(F.format_string("v%05d", "id").alias("y"), "id")
+    assert encode.label_encode(many, "y", "k").where("k <> id").count() == 0
     hot = encode.one_hot(df, "s", ["w", "x"]).orderBy("i").collect()
     assert [(r["s_w"], r["s_x"]) for r in hot] == [(0, 1), (0, 0)]
 
@@ -132,11 +133,11 @@ def test_names_and_parameters(spark):
         naming.signed(F.col("e")), naming.params_to_json(F.col("p")),
         naming.params_to_json(naming.without_param(F.col("p"), "a")),
     ).first()
-    assert tuple(row) == ("a__b", "svm_linear", "+0.0065", "-0.5000", '{"a":"1","b":"2"}', '{"b":"2"}')
+    assert tuple(row) == ("a__b", "svm_linear", "+0.0065", "-0.5", '{"a":"1","b":"2"}', '{"b":"2"}')
 
 
 def test_csv_files_are_tagged_and_checked(spark, tmp_path):
-    header = ",".join(c.split()[0] for c in readers.HOURLY_DDL.split(", "))
+    header = ",".join(readers.HOURLY_COLUMNS)
     for year in (2021, 2022):
         line = f"{year}-01-01 00:00:00,K,Zone K,XK,1.0,2.0,3.0,4.0,src,true,"
         (tmp_path / f"hourly-{year}.csv").write_text(f"{header}\n{line}\n")
@@ -148,7 +149,18 @@ def test_csv_files_are_tagged_and_checked(spark, tmp_path):
     with pytest.raises(ValueError, match="target"):
         readers.read_csv(spark, str(tmp_path / "hourly-2021.csv"), required=["target"])
     inferred = readers.read_csv(spark, str(tmp_path / "hourly-2021.csv"))
-    assert dict(inferred.dtypes)["carbon_direct"] == "double"
+    assert dict(inferred.dtypes)["Carbon intensity gCO₂eq/kWh (direct)"] == "double"
+
+
+def test_csv_columns_are_found_by_header(spark, tmp_path):
+    (tmp_path / "ab.csv").write_text("b,a\n1,2\n")
+    columns = {"a": ("first", "int"), "b": ("second", "int")}
+    assert tuple(readers.read_csv(spark, str(tmp_path / "ab.csv"), columns).drop("source_file").first()) == (2, 1)
+    with pytest.raises(ValueError, match="absent"):
+        readers.read_csv(spark, str(tmp_path / "ab.csv"), {"absent": ("x", "int")})
+    (tmp_path / "bad.csv").write_text("b,a\n1,x\n")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        readers.read_csv(spark, str(tmp_path / "bad.csv"), columns).collect()
 
 
 def test_union_fills_missing_columns(spark):

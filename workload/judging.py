@@ -273,10 +273,10 @@ def mcnemar_table(spark, sf_dir):
     SELECT priority, both_right, only_second_right, only_first_right, both_wrong, k::double AS statistic,
            {fixed_sql("p", 8)} AS p_value, CASE WHEN p < 0.05 THEN 1 ELSE 0 END AS significant,
            CASE WHEN p < 0.05 AND only_second_right > only_first_right
-                THEN 'second is significantly better (fewer errors)'
+                THEN 'second'
                 WHEN p < 0.05 AND only_first_right > only_second_right
-                THEN 'first is significantly better (fewer errors)'
-                ELSE 'no statistically significant difference in error rates' END AS verdict
+                THEN 'first'
+                ELSE 'none' END AS verdict
     FROM tested""",
 )
 def mcnemar_test(spark, sf_dir):
@@ -351,7 +351,8 @@ def metrics_long(spark, sf_dir):
                   FROM after LEFT JOIN before USING (model))
     SELECT model, coalesce(printf('%.4f', old_f1), '-') AS before_f1_macro, printf('%.4f', f1) AS after_f1_macro,
            coalesce(printf('%.4f', old_acc), '-') AS before_accuracy, printf('%.4f', acc) AS after_accuracy,
-           CASE WHEN d >= 0 THEN '+' ELSE '-' END || printf('%.4f', abs(d)) AS delta_f1_macro
+           CASE WHEN d >= 0 THEN '+' ELSE '-' END
+             || regexp_replace(printf('%.4f', abs(d)), '(\\.\\d+?)0+$', '\\1') AS delta_f1_macro
     FROM both_runs""",
 )
 def phase_comparison(spark, sf_dir):
