@@ -1,16 +1,59 @@
-"""Queries that fit models. Their numbers are checked by invariants in the tests, not by SQL."""
+"""Queries that fit models. SQL can't fit them; it recomputes what any right fit must give: rows scored per
+class, rows of every fold and subset, probabilities that add up, scores beyond the majority's share."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meridia.operators import curves, encode, explain, metrics, models, prep, search
 from meridia.plans import study
 
 from . import views
+from .judging import _SPLIT_SQL
 from .registry import query
 
+_TEST_SQL = f"{_SPLIT_SQL}, test AS (SELECT * FROM split WHERE split = 'test')"
+# Train rows in folds; the classes are thirds, so balancing adds none.
+_FOLDS_SQL = f"""{_SPLIT_SQL}, folded AS (
+  SELECT row_id, target_quantile_class AS label,
+         (row_number() OVER (PARTITION BY target_quantile_class ORDER BY md5('42:' || row_id), row_id) - 1) % 2 AS fold
+  FROM split WHERE split = 'train'
+), sizes_of AS (SELECT fold, label, count(*) AS n FROM folded GROUP BY ALL)"""
+
+
+def _class_facts_sql(*names: str) -> str:
+    listed = ", ".join(f"'{n}'" for n in names)
+    return f"""WITH {_TEST_SQL}
+    SELECT model, target_quantile_class AS class, count(*) AS support, (SELECT count(*) FROM test) AS scored_rows,
+           0::BIGINT AS bad_probabilities, true AS beats_majority
+    FROM test, (SELECT unnest([{listed}]) AS model) GROUP BY ALL"""
+
+
+def _class_facts(scored: DataFrame, probabilities: list[str], label: str = "label") -> DataFrame:
+    """Per model and class: rows, rows whose probabilities do not add up to 1, and whether the model's accuracy
+    is a tenth above the share of the largest class."""
+    total = sum((F.col(p) for p in probabilities[1:]), F.col(probabilities[0])) if probabilities else F.lit(1.0)
+    # a model without probabilities has nulls
+    below = F.least(*probabilities, F.lit(0.0), F.lit(0.0)) < 0
+    off = (F.abs(total - 1) > 1e-6) | below if probabilities else F.lit(False)
+    rows = scored.groupBy("model", F.col(label).alias("class")).agg(
+        F.count("*").alias("support"),
+        F.count_if(off).alias("bad_probabilities"),
+        F.count_if(F.col("pred") == F.col(label)).alias("hits"),
+    )
+    of_model = Window.partitionBy("model")
+    n = F.sum("support").over(of_model)
+    better = F.sum("hits").over(of_model) / n > F.max("support").over(of_model) / n + 0.1
+    return rows.select(
+        "model", "class", "support", n.alias("scored_rows"), "bad_probabilities", better.alias("beats_majority")
+    )
+
+
+def _fitted_facts(made: models.Fitted, data: study.Dataset) -> DataFrame:
+    columns = list(made.probability_columns().values()) if made.has_probabilities else []
+    return _class_facts(made.score(data.test).withColumn("model", F.lit(made.name)), columns)
+
 # Small settings: a fit of a few thousand rows is all job overhead.
 _SETTINGS = {
     models.LOGISTIC: {"C": 10, "max_iter": 40},
@@ -40,10 +83,10 @@ def flagship(spark, sf_dir) -> DataFrame:
 
 
 def _fit_query(key: str, name: str) -> None:
-    @query(key)
+    @query(key, _class_facts_sql(name))
     def run(spark, sf_dir):
         data = _dataset(spark, sf_dir)
-        return _test_scores(models.fit(data.train, name, _SETTINGS[name]), data)
+        return _fitted_facts(models.fit(data.train, name, _SETTINGS[name]), data)
 
 
 for _key, _name in {
@@ -57,33 +100,39 @@ for _key, _name in {
     _fit_query(_key, _name)
 
 
-@query("fit_gbt_softmax")
+@query("fit_gbt_softmax", _class_facts_sql(models.SOFTMAX_BOOSTING))
 def fit_gbt_softmax(spark, sf_dir):
     data = _dataset(spark, sf_dir)
-    return _test_scores(models.fit(data.train, models.SOFTMAX_BOOSTING, {"n_estimators": 2, "learning_rate": 0.5}), data)
+    return _fitted_facts(models.fit(data.train, models.SOFTMAX_BOOSTING, {"n_estimators": 2, "learning_rate": 0.5}), data)
 
 
-@query("platt_scaling")
+@query("platt_scaling", _class_facts_sql(models.LINEAR_SVM))
 def platt_scaling(spark, sf_dir):
     data = _dataset(spark, sf_dir)
     made = models.platt_scaling(data.train, models.LINEAR_SVM, {"C": 10, "max_iter": 5})
-    return made.score(data.test).drop("features")
+    return _fitted_facts(made, data)
 
 
-@query("score_table")
+@query("score_table", _class_facts_sql(models.LOGISTIC, models.FOREST))
 def score_table(spark, sf_dir):
     data = _dataset(spark, sf_dir)
     names = (models.LOGISTIC, models.FOREST)
     fitted = {n: models.fit(data.train, n, _SETTINGS[n]) for n in names}
-    return search.score_table(fitted, data.test, "row_id")
+    columns = list(next(iter(fitted.values())).probability_columns().values())
+    return _class_facts(search.score_table(fitted, data.test, "row_id"), columns, "y")
 
 
-@query("grid_search")
+@query(
+    "grid_search",
+    """SELECT 'Random Forest' AS model, candidate, params, true AS scored
+       FROM (VALUES (0, '{"max_depth": 2}'), (1, '{"max_depth": 5}')) AS t(candidate, params)""",
+)
 def grid_search(spark, sf_dir):
     data = _dataset(spark, sf_dir, folds=3)
     grid = search.expand_grid({"max_depth": [2, 5]})
     found = search.search(data.train, models.FOREST, grid, fixed={"n_estimators": 5})
-    return found.table(spark)
+    scored = ((F.col("cv_f1_macro") > 0.4) & (F.col("cv_f1_macro") <= 1)).alias("scored")
+    return found.table(spark).select("model", "candidate", "params", scored)
 
 
 @query("random_search")
@@ -94,47 +143,101 @@ def random_search(spark, sf_dir):
     return search.search(data.train, models.FOREST, small).table(spark)
 
 
-@query("model_study")
+@query(
+    "model_study",
+    f"""WITH {_TEST_SQL}, n AS (SELECT target_quantile_class, count(*) AS c FROM test GROUP BY 1)
+    SELECT model, (SELECT sum(c) FROM n)::BIGINT AS row_count, true AS beats_majority, true AS f1_below_one
+    FROM (VALUES ('Random Forest'), ('Logistic Regression')) AS t(model)""",
+)
 def model_study(spark, sf_dir):
     data = _dataset(spark, sf_dir)
     candidates = {models.FOREST: [{"n_estimators": 5, "max_depth": 4}], models.LOGISTIC: [{"C": 10}]}
-    return study.model_study(data, candidates, fixed={models.LOGISTIC: {"max_iter": 20}}).results
+    results = study.model_study(data, candidates, fixed={models.LOGISTIC: {"max_iter": 20}}).results
+    # the classes are thirds of the rows
+    return results.select(
+        "model", "row_count", (F.col("accuracy") > 0.44).alias("beats_majority"), (F.col("f1_macro") <= 1).alias("f1_below_one")
+    )
+
 
+_SHARES_SQL = ", ".join(f"{{'point': {i}, 'share': {s!r}::double}}" for i, s in enumerate(curves.LEARNING_SHARES))
 
-@query("learning_curve")
+
+@query(
+    "learning_curve",
+    f"""WITH {_FOLDS_SQL}, points AS (SELECT unnest([{_SHARES_SQL}], recursive := true)),
+    held AS (SELECT DISTINCT fold AS held FROM sizes_of)
+    SELECT CAST(point AS int) AS point, CAST(held AS int) AS fold, 'train' AS split,
+           CAST(sum(ceil(n * share - 1e-9::double)) AS BIGINT) AS row_count
+    FROM sizes_of, points, held WHERE fold <> held GROUP BY ALL
+    UNION ALL
+    SELECT CAST(point AS int), CAST(held AS int), 'validation', CAST(sum(n) AS BIGINT)
+    FROM sizes_of, points, held WHERE fold = held GROUP BY ALL""",
+)
 def learning_curve(spark, sf_dir):
     data = _dataset(spark, sf_dir)
     small = {"n_estimators": 5, "max_depth": 4}
-    return curves.learning_curve(data.train, models.FOREST, small, "row_id", shares=[0.1, 0.5, 1.0])
+    made = curves.learning_curve(data.train, models.FOREST, small, "row_id")
+    return made.select("point", "fold", "split", "row_count")
 
 
-@query("validation_curve")
+@query(
+    "validation_curve",
+    f"""WITH {_FOLDS_SQL}, points AS (SELECT unnest([0, 1]) AS point), held AS (SELECT DISTINCT fold AS held FROM sizes_of)
+    SELECT point, CAST(held AS int) AS fold, CASE WHEN fold = held THEN 'validation' ELSE 'train' END AS split,
+           CAST(sum(n) AS BIGINT) AS row_count
+    FROM sizes_of, points, held GROUP BY ALL""",
+)
 def validation_curve(spark, sf_dir):
     data = _dataset(spark, sf_dir)
     rows = curves.validation_curve(data.train, models.FOREST, {"n_estimators": 5}, "max_depth", [1, 3])
-    return curves.curve_summary(rows)
+    return rows.select("point", "fold", "split", "row_count")
+
+
+_STRENGTHS_SQL = ", ".join(f"({i}, {c!r}::double)" for i, c in enumerate(curves.C_PATH))
 
 
-@query("regularization_path")
+@query(
+    "regularization_path",
+    f"""WITH {_SPLIT_SQL}
+    SELECT point, c AS value, split, count(*) AS row_count
+    FROM split, (VALUES {_STRENGTHS_SQL}) AS t(point, c) GROUP BY ALL""",
+)
 def regularization_path(spark, sf_dir):
     data = _dataset(spark, sf_dir)
     both = data.train.select("row_id", "label", "features", F.lit("train").alias("split")).unionByName(
         data.test.select("row_id", "label", "features", F.lit("test").alias("split"))
     )
-    return curves.regularization_path(both, values=[0.001, 1.0], params={"max_iter": 20})
+    made = curves.regularization_path(both, params={"max_iter": 20})
+    return made.select("point", "value", "split", "row_count")
 
 
-@query("mlp_loss_curve")
+@query("mlp_loss_curve", "SELECT true AS loss_falls, true AS every_iteration_once, true AS beats_majority")
 def mlp_loss_curve(spark, sf_dir):
     data = _dataset(spark, sf_dir)
-    return curves.network_progress(data.train, "row_id", hidden=(12,), step=10, max_iter=40)
-
-
-@query("retrain_compare")
+    made = curves.network_progress(data.train, "row_id", hidden=(12,), step=10, max_iter=40)
+    first, last = F.min_by("loss", "iteration"), F.max_by("loss", "iteration")
+    return made.agg(
+        (last < first).alias("loss_falls"),
+        ((F.count_distinct("iteration") == F.count("*")) & (F.max("iteration") - F.min("iteration") + 1 == F.count("*")))
+        .alias("every_iteration_once"),
+        (F.max("validation_accuracy") > 0.44).alias("beats_majority"),
+    )
+
+
+@query(
+    "retrain_compare",
+    f"WITH {_TEST_SQL} SELECT count(*) AS row_count, true AS p_value_in_bounds, true AS verdict_known FROM test",
+)
 def retrain_compare(spark, sf_dir):
     data = _dataset(spark, sf_dir)
     now = models.fit(data.train, models.FOREST, _SETTINGS[models.FOREST])
-    return study.retrain_compare(data.train, data.test, (models.FOREST, {"n_estimators": 2, "max_depth": 2}), now)
+    made = study.retrain_compare(data.train, data.test, (models.FOREST, {"n_estimators": 2, "max_depth": 2}), now)
+    cells = F.col("both_right") + F.col("both_wrong") + F.col("only_first_right") + F.col("only_second_right")
+    return made.select(
+        cells.alias("row_count"),
+        F.col("p_value").between(0, 1).alias("p_value_in_bounds"),
+        F.col("verdict").isin("first", "second", "none").alias("verdict_known"),
+    )
 
 
 @query("feature_importance")

@@ -242,10 +242,24 @@ def outlier_consensus(spark, sf_dir):
     return both.select("row_id", "outlier_consensus_count", "outlier_consensus_flag")
 
 
-@query("isolation_forest")
+@query(
+    "isolation_forest",
+    f"""WITH {views.DAILY_SQL}
+    SELECT row_id, true AS score_in_bounds, true AS flags_few, true AS flagged_are_highest FROM daily""",
+)
 def isolation_forest(spark, sf_dir):
     scored = outliers.isolation_forest(views.daily(spark, sf_dir), _CHECKED, "row_id")
-    return scored.select("row_id", "isolation_score", "isolation_forest_flag")
+    score, flag = F.col("isolation_score"), F.col("isolation_forest_flag")
+    facts = scored.agg(
+        (F.sum(flag) <= F.ceil(F.count("*") * 0.05)).alias("flags_few"),
+        F.max(F.when(flag == 0, score)).alias("top"),
+    )
+    return scored.crossJoin(F.broadcast(facts)).select(
+        "row_id",
+        ((score > 0) & (score < 1)).alias("score_in_bounds"),
+        "flags_few",
+        ((flag == 1) == (score > F.col("top"))).alias("flagged_are_highest"),
+    )
 
 
 _MONTHLY_SQL = ", ".join(

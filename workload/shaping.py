@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from meridia.operators import balance, cluster, encode, neighbors, prep, split
@@ -285,28 +286,50 @@ def covariance_matrix(spark, sf_dir):
     return fix(cluster.covariance_matrix(views.vectors(spark, sf_dir), "x"), ["covariance"], 8)
 
 
-@query("pca_project")
+@query("pca_project", "SELECT vec_id AS row_id, label, true AS centred, true AS apart, true AS first_is_larger FROM embeddings")
 def pca_project(spark, sf_dir):
     vectors = cluster.as_vectors(views.vectors(spark, sf_dir), "x")
     projected, shares = cluster.pca_project(vectors)
-    return projected.select("row_id", "label", "pc1", "pc2").withColumns(
-        {"pc1_share": F.lit(shares[0]), "pc2_share": F.lit(shares[1])}
+    facts = projected.agg(
+        ((F.abs(F.avg("pc1")) < 1e-6) & (F.abs(F.avg("pc2")) < 1e-6)).alias("centred"),
+        (F.abs(F.corr("pc1", "pc2")) < 1e-6).alias("apart"),
+        ((F.var_samp("pc1") >= F.var_samp("pc2")) & F.lit(shares[0] >= shares[1] > 0)).alias("first_is_larger"),
     )
+    return projected.select("row_id", "label").crossJoin(F.broadcast(facts))
 
 
-@query("kmeans")
+@query(
+    "kmeans",
+    "SELECT vec_id AS row_id, label, true AS nearest_center, true AS inertia_adds_up FROM embeddings",
+)
 def kmeans(spark, sf_dir):
     vectors = cluster.as_vectors(views.vectors(spark, sf_dir), "x")
-    _, cost, placed = cluster.kmeans(vectors, 3, starts=3)
-    return placed.select("row_id", "label", "cluster", F.lit(cost).alias("inertia"))
+    made, cost, placed = cluster.kmeans(vectors, 3, starts=3)
+    centers = {i: [float(v) for v in c] for i, c in enumerate(made.clusterCenters())}
+    again = cluster.assign_to_centers(placed, centers, "x", out="nearest")
+    facts = again.agg((F.abs(F.sum("squared_distance") / F.lit(float(cost)) - 1) < 1e-3).alias("inertia_adds_up"))
+    return again.select("row_id", "label", (F.col("nearest") == F.col("cluster")).alias("nearest_center")).crossJoin(
+        F.broadcast(facts)
+    )
 
 
-@query("hierarchical_cluster")
+@query("hierarchical_cluster", "SELECT vec_id AS row_id, label, 3::BIGINT AS clusters FROM embeddings")
 def hierarchical_cluster(spark, sf_dir):
     vectors = views.vectors(spark, sf_dir)
-    return cluster.hierarchical(vectors, 3, "x", "row_id", micro=100).select("row_id", "label", "cluster")
+    placed = cluster.hierarchical(vectors, 3, "x", "row_id", micro=100)
+    number = placed.agg(F.count_distinct("cluster").alias("clusters"))
+    return placed.select("row_id", "label").crossJoin(F.broadcast(number))
 
 
-@query("elbow_sweep")
+@query(
+    "elbow_sweep",
+    "SELECT k, true AS inertia_falls, true AS silhouette_in_bounds FROM (SELECT CAST(unnest(range(2, 9)) AS int) AS k)",
+)
 def elbow_sweep(spark, sf_dir):
-    return cluster.elbow_sweep(views.vectors(spark, sf_dir), [2, 3, 4], "x", "row_id", starts=1)
+    made = cluster.elbow_sweep(views.vectors(spark, sf_dir), range(2, 9), "x", "row_id", starts=3)
+    before = F.lag("inertia").over(Window.orderBy("k"))
+    return made.select(
+        "k",
+        F.coalesce(F.col("inertia") < before * 1.02, F.lit(True)).alias("inertia_falls"),
+        F.col("silhouette").between(-1, 1).alias("silhouette_in_bounds"),
+    )
