@@ -3,6 +3,8 @@ class, rows of every fold and subset, probabilities that add up, scores beyond t
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -135,12 +137,23 @@ def grid_search(spark, sf_dir):
     return found.table(spark).select("model", "candidate", "params", scored)
 
 
-@query("random_search")
+_GRID_SQL = ", ".join(
+    "('" + json.dumps(c, sort_keys=True) + "')" for c in search.expand_grid(search.RANDOM_PRESET[models.FOREST])
+)
+
+
+@query(
+    "random_search",
+    f"""SELECT 'Random Forest' AS model, params, true AS scored,
+               CAST(row_number() OVER (ORDER BY md5('42:' || params), params) - 1 AS int) AS candidate
+        FROM (VALUES {_GRID_SQL}) AS t(params) ORDER BY md5('42:' || params), params LIMIT 2""",
+)
 def random_search(spark, sf_dir):
     data = _dataset(spark, sf_dir)
     drawn = search.draw(search.RANDOM_PRESET[models.FOREST], n_iter=2)
-    small = [{**c, "n_estimators": 5, "max_depth": 5} for c in drawn]
-    return search.search(data.train, models.FOREST, small).table(spark)
+    found = search.search(data.train, models.FOREST, drawn)
+    scored = ((F.col("cv_f1_macro") > 0.4) & (F.col("cv_f1_macro") <= 1)).alias("scored")
+    return found.table(spark).select("model", "candidate", "params", scored)
 
 
 @query(
@@ -240,19 +253,29 @@ def retrain_compare(spark, sf_dir):
     )
 
 
-@query("feature_importance")
+@query("feature_importance", "SELECT true AS adds_up_to_one, true AS none_negative, true AS one_per_feature")
 def feature_importance(spark, sf_dir):
     data = _dataset(spark, sf_dir)
-    return explain.feature_importance(models.fit(data.train, models.FOREST, _SETTINGS[models.FOREST]), data.names)
+    made = explain.feature_importance(models.fit(data.train, models.FOREST, _SETTINGS[models.FOREST]), data.names)
+    return made.agg(
+        (F.abs(F.sum("importance") - 1) < 1e-9).alias("adds_up_to_one"),
+        (F.min("importance") >= 0).alias("none_negative"),
+        (F.count_distinct("feature") == len(data.names)).alias("one_per_feature"),
+    )
 
 
-@query("feature_selection")
+@query("feature_selection", "SELECT true AS kept_from_threshold, true AS means_of_kept_only, true AS some_kept")
 def feature_selection(spark, sf_dir):
     data = _dataset(spark, sf_dir)
     chosen = explain.select_features(data.train, data.names, params=_SETTINGS[models.FOREST])
     values = chosen.apply(data.test).select(encode.slots("features", chosen.kept))
     means = values.groupBy("feature").agg(F.avg("value").alias("test_mean"))
-    return chosen.table.join(means, "feature", "left")
+    both = chosen.table.join(means, "feature", "left")
+    return both.agg(
+        F.bool_and((F.col("kept") == 1) == (F.col("importance") >= F.col("threshold"))).alias("kept_from_threshold"),
+        F.bool_and((F.col("kept") == 1) == F.col("test_mean").isNotNull()).alias("means_of_kept_only"),
+        (F.sum("kept") > 0).alias("some_kept"),
+    )
 
 
 def _shap(spark, sf_dir):
@@ -261,17 +284,33 @@ def _shap(spark, sf_dir):
     return made, explain.tree_shap(made, data.test, data.names, "row_id")
 
 
-@query("tree_shap")
+@query(
+    "tree_shap",
+    f"""WITH {_TEST_SQL} SELECT class, (SELECT count(*) FROM test) AS row_count, true AS all_features, true AS one_base
+    FROM (SELECT DISTINCT target_quantile_class AS class FROM labeled)""",
+)
 def tree_shap(spark, sf_dir):
-    return _shap(spark, sf_dir)[1]
+    return _shap(spark, sf_dir)[1].groupBy("class").agg(
+        F.count_distinct("row_id").alias("row_count"),
+        (F.count("*") == F.count_distinct("row_id") * F.count_distinct("feature")).alias("all_features"),
+        (F.min("base") == F.max("base")).alias("one_base"),
+    )
 
 
-@query("shap_importance")
+@query("shap_importance", "SELECT true AS at_most_fifteen, true AS falling, true AS none_negative")
 def shap_importance(spark, sf_dir):
-    return explain.shap_importance(_shap(spark, sf_dir)[1])
+    made = explain.shap_importance(_shap(spark, sf_dir)[1])
+    return made.agg(
+        (F.count("*") <= 15).alias("at_most_fifteen"),
+        (F.max("mean_abs_shap") > F.min("mean_abs_shap")).alias("falling"),
+        (F.min("mean_abs_shap") >= 0).alias("none_negative"),
+    )
 
 
-@query("shap_points")
+@query("shap_points", f"WITH {_TEST_SQL} SELECT row_id, true AS each_feature_once FROM test")
 def shap_points(spark, sf_dir):
     made, values = _shap(spark, sf_dir)
-    return explain.shap_points(values, "row_id", made.classes[0])
+    points = explain.shap_points(values, "row_id", made.classes[0])
+    return points.groupBy("row_id").agg(
+        (F.count("*") == F.count_distinct("feature")).alias("each_feature_once")
+    )
