@@ -10,8 +10,8 @@ is compared on full sets.
 Texts with equal sets are one class and take part once. In a band, every class is first compared with the
 smallest of the band, so a band of thousands of near copies costs thousands of comparisons. What that leaves
 open (two classes of one band in different components) is compared inside sorted batches, in blocks of bounded
-size: first by short sketches, then by the sets in 16 bits a shingle (of large sets a sample in 32). Only pairs
-that come out as links there leave the batch, so families of loosely similar texts make no rows.
+size: first by short sketches, then by the sets in 32 bits a shingle, of large sets a sample. Only pairs that
+come out as links there, and join components, leave the batch: families of similar texts make few rows.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ SLACK = 5.0
 # One byte of this many borrowed-in registers: a sketch that travels with the bands.
 SKETCH = 128
 BLOCK = 512
-# Sets up to this size travel whole, in 16 bits a shingle; larger ones as a sample of about half to all of it.
+# Sets up to this size travel whole, in 32 bits a shingle; larger ones as a sample of about half to all of it.
 WHOLE = 1024
 
 _REST = np.uint64((1 << 56) - 1)
@@ -153,16 +153,10 @@ def _band_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(rep)], names=["band", "rep"])
 
 
-def digests(distinct: np.ndarray, threshold: float) -> tuple[bytes | None, bytes | None]:
-    """A set in 16 bits a shingle, and a large set's sample in 32 bits; near ``WHOLE`` both are there."""
-    n = len(distinct)
-    whole = sample = None
-    if n <= WHOLE:
-        whole = np.unique((distinct >> np.uint64(8)).astype(np.uint16)).tobytes()
-    if n > threshold * WHOLE:
-        short = np.unique((distinct >> np.uint64(16)).astype(np.uint32))
-        sample = short[short <= _sample_limit(n)].tobytes()
-    return whole, sample
+def digest(distinct: np.ndarray) -> np.ndarray:
+    """A set in 32 bits a shingle, sorted; of a set above ``WHOLE`` the values up to a limit."""
+    short = np.unique((distinct >> np.uint64(16)).astype(np.uint32))
+    return short[short <= _sample_limit(len(distinct))]
 
 
 def _sample_limit(n: int) -> int:
@@ -170,48 +164,35 @@ def _sample_limit(n: int) -> int:
     return ((1 << 32) >> max(0, (int(n) - 1).bit_length() - WHOLE.bit_length() + 1)) - 1
 
 
-def _digest_batches(threshold: float):
+def _digest_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Digests and sketches of the classes' sets."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [s.values.to_numpy().view(np.uint64) for s in batch.column(1)]
-            regs = np.stack([registers(s) for s in sets]) if sets else np.zeros((0, BUCKETS), np.uint16)
-            _, sketch = band_keys(regs)
-            made = [digests(s, threshold) for s in sets]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([r.tobytes() for r in sketch], pa.binary()),
-                 pa.array([w for w, _ in made], pa.binary()), pa.array([s for _, s in made], pa.binary())],
-                names=["rep", "n_shingles", "sketch", "whole", "sample"],
-            )
-
-    return run
-
-
-def linked_sizes(common: np.ndarray, a: int, b: np.ndarray, threshold: float) -> np.ndarray:
-    """Whether sets of ``a`` and ``b`` elements with so many 16-bit values in common may reach the threshold.
-
-    Two elements of one set may fall on one value, so a few are added to what they have in common.
-    """
-    merged = np.minimum(a, b).astype(float) ** 2 / (1 << 17)
-    return common + 1 + merged + 4 * np.sqrt(merged) >= threshold / (1 + threshold) * (a + b)
+    for batch in batches:
+        sets = [s.values.to_numpy().view(np.uint64) for s in batch.column(1)]
+        regs = np.stack([registers(s) for s in sets]) if sets else np.zeros((0, BUCKETS), np.uint16)
+        _, sketch = band_keys(regs)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
+             pa.array([r.tobytes() for r in sketch], pa.binary()),
+             pa.array([digest(s).tobytes() for s in sets], pa.binary())],
+            names=["rep", "n_shingles", "sketch", "digest"],
+        )
 
 
 def close_pairs(
-    sketch: np.ndarray, size: np.ndarray, component: np.ndarray, side: np.ndarray, whole: list[bytes | None],
-    sample: list[bytes | None], threshold: float,
+    sketch: np.ndarray, size: np.ndarray, component: np.ndarray, side: np.ndarray, digests: list[bytes],
+    threshold: float,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of rows in different components whose sizes, sketches and digests allow the threshold.
 
     ``side`` tells two blocks apart: rows of one side are compared with the other's, or all with all if there
-    is one side only.
+    is one side only. Pairs of whole digests are links, so they join their components here and further pairs
+    of the two say no more; a family of true copies gives a pair per copy. Of sampled sets every pair that
+    may be a link is given.
     """
     least = (threshold - SLACK * (threshold * (1 - threshold) / SKETCH) ** 0.5) * SKETCH
-    found = []
+    component, found = component.copy(), []
     both = len(side) and side.min() != side.max()
-    values = [np.frombuffer(w, np.uint16) if w is not None else None for w in whole]
-    marked = np.zeros(1 << 16, bool)
+    values = [np.frombuffer(d, np.uint32) for d in digests]
     for i in range(len(sketch) - 1):
         rest = slice(i + 1, None)
         ok = component[rest] != component[i]
@@ -221,28 +202,25 @@ def close_pairs(
         at = np.flatnonzero(ok) + i + 1
         if len(at):
             at = at[(sketch[at] == sketch[i]).sum(1) >= least]
-        if not len(at):
-            continue
-        exact = np.array([values[i] is not None and values[j] is not None for j in at])
-        near = []
-        if exact.any():
-            others = at[exact]
-            marked[values[i]] = True
-            cuts = np.concatenate([[0], np.cumsum([len(values[j]) for j in others])[:-1]])
-            common = np.add.reduceat(marked[np.concatenate([values[j] for j in others])].astype(np.int64), cuts)
-            marked[values[i]] = False
-            near.append(others[linked_sizes(common, size[i], size[others], threshold)])
-        near.append(np.array([j for j in at[~exact] if _sampled_close(sample[i], sample[j], size[i], size[j], threshold)], int))
-        near = np.concatenate(near)
-        if len(near):
-            found.append(np.stack([np.full(len(near), i), near]))
-    a, b = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
+        whole = at[(size[at] <= WHOLE) & (size[i] <= WHOLE)]
+        if len(whole):
+            cuts = np.concatenate([[0], np.cumsum([len(values[j]) for j in whole])[:-1]])
+            theirs = np.concatenate([values[j] for j in whole])
+            place = np.minimum(np.searchsorted(values[i], theirs), len(values[i]) - 1)
+            common = np.add.reduceat((values[i][place] == theirs).astype(np.int64), cuts)
+            for j in whole[common >= threshold / (1 + threshold) * (size[i] + size[whole]) - 1e-9]:
+                if component[j] != component[i]:
+                    found.append((i, j))
+                    component[component == component[j]] = component[i]
+        for j in at[(size[at] > WHOLE) | (size[i] > WHOLE)]:
+            if component[j] != component[i] and _sampled_close(values[i], values[j], size[i], size[j], threshold):
+                found.append((i, j))
+    a, b = np.array(found, np.int64).reshape(-1, 2).T
     return a, b
 
 
-def _sampled_close(a: bytes, b: bytes, n_a: int, n_b: int, threshold: float) -> bool:
-    limit = min(_sample_limit(n_a), _sample_limit(n_b))
-    one, two = (np.frombuffer(x, np.uint32) for x in (a, b))
+def _sampled_close(one: np.ndarray, two: np.ndarray, n_one: int, n_two: int, threshold: float) -> bool:
+    limit = min(_sample_limit(n_one), _sample_limit(n_two))
     one, two = one[one <= limit], two[two <= limit]
     common = len(np.intersect1d(one, two, assume_unique=True))
     union = max(len(one) + len(two) - common, 1)
@@ -257,13 +235,11 @@ def _close_batches(threshold: float):
         cuts = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(1), [True]]))
         rep, size, component, side = (table.column(c).to_numpy() for c in ("rep", "n_shingles", "component", "side"))
         sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)
-        whole, sample = (table.column(c).to_pylist() for c in ("whole", "sample"))
+        digests = table.column("digest").to_pylist()
         out = []
         for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
             part = slice(lo, hi)
-            a, b = close_pairs(
-                sketch[part], size[part], component[part], side[part], whole[part], sample[part], threshold
-            )
+            a, b = close_pairs(sketch[part], size[part], component[part], side[part], digests[part], threshold)
             out.append(np.stack([rep[lo + a], rep[lo + b]]))
         ends = np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
         ends = np.unique(np.sort(ends, axis=0), axis=1)
@@ -327,12 +303,12 @@ def signatures(docs: DataFrame, width: int = 5) -> DataFrame:
 def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8) -> DataFrame:
     """Component of every row of ``docs`` (doc_id, text).
 
-    Columns ``doc_id, text_hash, n_shingles, component_id, kept, n_links``.
+    Columns ``doc_id, text_hash, n_shingles, component_id, kept``.
 
     Words lose the case of A-Z; a text's set holds its distinct runs of ``width`` words, or its whole word
     sequence if it has fewer. Two texts are linked when their sets' Jaccard similarity is ``threshold`` or
     more. ``component_id`` is the smallest doc_id reachable over links, ``kept`` says whether the row is that
-    one, ``n_links`` counts its class's links to different sets. Texts that are null, empty or without words
+    one. Texts that are null, empty or without words
     have no set and are linked with nothing. A null doc_id can't be linked: its component is null, and it is
     kept. Rows that share a doc_id count each with its own text; equal rows get equal results. Other columns
     are not looked at. An empty table gives an empty result.
@@ -359,14 +335,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8) ->
     if not rest.isEmpty():
         links = links.unionByName(rest).distinct()
         joined_up = components(links)
-    degree = (
-        links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n_links"))
-    )
     named = (
         classes.select(*of_set, "rep")
         .join(joined_up.withColumnRenamed("node", "rep"), "rep", "left")
-        .join(degree, "rep", "left")
-        .select(*of_set, F.coalesce("component", "rep").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n"))
+        .select(*of_set, F.coalesce("component", "rep").alias("component"))
     )
     out = signed.drop("registers").join(named, of_set, "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
@@ -377,7 +349,6 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8) ->
         "n_shingles",
         component.alias("component_id"),
         F.col("doc_id").eqNullSafe(component).alias("kept"),
-        F.when(F.col("n_shingles") > 0, F.coalesce("n", F.lit(0))).otherwise(0).cast("long").alias("n_links"),
     )
 
 
@@ -422,7 +393,7 @@ def _open_pairs(shared: DataFrame, sets: DataFrame, done: DataFrame, threshold:
         .select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     )
     sketches = sets.mapInArrow(
-        _digest_batches(threshold), "rep long, n_shingles long, sketch binary, whole binary, sample binary"
+        _digest_batches, "rep long, n_shingles long, sketch binary, digest binary"
     )
     own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     rows = named.join(mixed, "band").withColumn("own", own)
@@ -431,8 +402,7 @@ def _open_pairs(shared: DataFrame, sets: DataFrame, done: DataFrame, threshold:
         "band", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "rep", "component",
         F.col("own").alias("side"),
     )
-    keyed = rows.join(sketches, "rep").select("band", "p", "q", "rep", "component", "side", "n_shingles", "sketch",
-                                           "whole", "sample")
+    keyed = rows.join(sketches, "rep").select("band", "p", "q", "rep", "component", "side", "n_shingles", "sketch", "digest")
     keyed = keyed.repartition("band", "p", "q").sortWithinPartitions("band", "p", "q")
     return keyed.mapInArrow(_close_batches(threshold), "a long, b long").distinct()
 
