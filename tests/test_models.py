@@ -72,7 +72,7 @@ def test_logistic_strength_follows_the_row_count():
 
 def test_kernel_features_approximate_the_kernel(rows):
     x = rows.limit(20).orderBy("row_id")
-    made = models.FourierFeatures(gamma=0.3, components=4000).transform(x).collect()
+    made = models.FourierFeatures(width=4, gamma=0.3, components=4000).transform(x).collect()
     z = np.array([r["kernel_features"].toArray() for r in made])
     a = np.array([r["x"] for r in made])
     exact = np.exp(-0.3 * ((a[:, None] - a[None]) ** 2).sum(axis=2))
