@@ -173,7 +173,10 @@ def test_learning_curve_sizes_and_summary(rows):
 def test_network_progress_stops(rows):
     got = curves.network_progress(rows, "row_id", hidden=(4,), step=5, max_iter=60, patience=2).collect()
     losses = [r["loss"] for r in got]
-    assert losses[-1] < losses[0] and all(0 <= r["validation_accuracy"] <= 1 for r in got)
+    assert losses[-1] < losses[0]
+    assert [r["iteration"] for r in got] == list(range(got[0]["iteration"], got[0]["iteration"] + len(got)))
+    judged = [r["validation_accuracy"] for r in got if r["validation_accuracy"] is not None]
+    assert 1 <= len(judged) < len(got) and all(0 <= a <= 1 for a in judged)
 
 
 def test_softmax_boosting_follows_the_multinomial_deviance(rows):

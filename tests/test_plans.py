@@ -47,7 +47,7 @@ def test_grid_study(spark, features, tmp_path):
     assert made.tables["learning_curve"].count() == 2 and made.tables["regularization_path"].count() == 2
     assert made.tables["elbow_and_silhouette"].count() == 2 and made.tables["network_progress"].count() >= 1
     for r in made.tables["clustering_results"].collect():
-        assert -1 <= r["silhouette"] <= 1 and r["metric"] == "euclidean"
+        assert -1 <= r["silhouette"] <= 1 and r["metric"] == "squared"
     study.write_study(made, str(tmp_path))
     text = "\n".join(r["value"] for r in spark.read.text(f"{tmp_path}/report").collect())
     assert "## Best model" in text and "Agglomerative (k=3)" in text
@@ -74,7 +74,7 @@ def test_random_study(spark, features):
     if made.best_row()["model"] == models.FOREST:
         assert made.tables["shap_importance"].count() == min(15, len(made.selection.kept))
     text = "\n".join(r["text"] for r in study.report(made).orderBy("line_no").collect())
-    assert "Conclusion:" in text and "Verdict:" in text and "features kept" in text
+    assert "## Fold scores compared" in text and "## Errors compared" in text and "features kept" in text
 
 
 def test_exact_queries_agree_with_sql(spark):
