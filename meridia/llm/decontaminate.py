@@ -1,8 +1,9 @@
 """Benchmark decontamination by spaced seeds: hashes of masked token positions, joined, then aligned.
 
 A mask keeps some positions of a run of tokens and ignores the others, so a run with a substituted token at
-an ignored place still hashes alike. The three masks together hit every overlap of ``MIN_TOKENS`` tokens that
-holds up to two substitutions. Around every hit document and item are laid side by side; the longest stretch
+an ignored place still hashes alike. The masks together hit every overlap of ``MIN_TOKENS`` tokens or more with
+``IDENTITY_PERCENT`` of them equal: all patterns of 13 to 25 tokens were counted, and a longer overlap can be cut
+into pieces of 13 to 25 tokens, of which one at least has no more than its share of substitutions. Around every hit document and item are laid side by side; the longest stretch
 that agrees in at least ``IDENTITY`` of its tokens decides.
 
 Tokens are runs of characters other than white space and ASCII punctuation, A-Z in lower case.
@@ -20,8 +21,8 @@ from pyspark.sql import functions as F
 from meridia.llm.words import WHITE_AND_PUNCTUATION, chunks, mix, split
 from meridia.session import materialize
 
-# Fixed masks (1: position counts), found by search over all pairs of substitutions in 13 tokens.
-MASKS = ("1111100101", "11011111", "11001010111")
+# Fixed masks (1: position counts), found by search over all substitutions allowed in 13 to 25 tokens.
+MASKS = ("1111100101", "11011111", "11001010111", "11100001010011", "11010100000111", "110101000001011")
 MIN_TOKENS = 13
 # Shorter items count when they occur whole; below this length an item says nothing and is left out.
 SHORTEST_ITEM = 5

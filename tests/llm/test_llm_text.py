@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import random
 import sys
 from pathlib import Path
@@ -198,6 +199,32 @@ def test_overlaps_are_those_of_all_alignments(spark):
         assert found[doc].contaminated == (best > 0)
 
 
+def test_masks_hit_every_allowed_pattern_of_substitutions():
+    """Lengths of 26 and more fall into pieces of 13 to 25, one of which has at most its share of substitutions."""
+    masks = [(int(m, 2), len(m)) for m in decontaminate.MASKS]
+    for n in range(decontaminate.MIN_TOKENS, 26):
+        changed = itertools.combinations(range(n), n * (100 - decontaminate.IDENTITY_PERCENT) // 100)
+        patterns = np.array([sum(1 << i for i in places) for places in changed], np.int64)
+        hit = np.zeros(len(patterns), bool)
+        for mask, span in masks:
+            for at in range(n - span + 1):
+                hit |= (patterns & (mask << at)) == 0
+        assert hit.all(), (n, int((~hit).sum()))
+
+
+def test_three_substitutions_in_fifteen_tokens_are_found(spark):
+    item = fx.prose(77, 15, 10**6)
+    rows = []
+    for doc, places in enumerate(itertools.combinations(range(15), 3)):
+        words = list(item)
+        for at in places:
+            words[at] = "changed"
+        rows.append((doc, " ".join([*fx.prose(5000 + doc, 9, 10**6), *words, *fx.prose(6000 + doc, 9, 10**6)])))
+    items = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = decontaminate.contamination(docs_of(spark, rows), items)
+    assert got.where("contaminated AND longest >= 13").count() == len(rows) == 455
+
+
 def test_benchmark_on_odd_rows(spark):
     items = spark.createDataFrame([(1, None, 0), (2, "", 0), (None, "one two three four five six", 1), (3, "nine ten " * 9, 2)],
                                   "item_id long, text string, seed int")
