@@ -56,16 +56,6 @@ def _fitted_facts(made: models.Fitted, data: study.Dataset) -> DataFrame:
     columns = list(made.probability_columns().values()) if made.has_probabilities else []
     return _class_facts(made.score(data.test).withColumn("model", F.lit(made.name)), columns)
 
-# Small settings: a fit of a few thousand rows is all job overhead.
-_SETTINGS = {
-    models.LOGISTIC: {"C": 10, "max_iter": 40},
-    models.FOREST: {"n_estimators": 20, "max_depth": 6},
-    models.BOOSTING: {"n_estimators": 5, "max_depth": 3, "learning_rate": 0.3},
-    models.LINEAR_SVM: {"C": 10, "max_iter": 10},
-    models.RBF_SVM: {"C": 10, "gamma": "auto", "components": 64, "max_iter": 10},
-    models.NETWORK: {"hidden_layer_sizes": [12], "max_iter": 40},
-}
-
 
 def _dataset(spark, sf_dir, folds: int = 2) -> study.Dataset:
     return study.build_dataset(
@@ -81,14 +71,14 @@ def _test_scores(made: models.Fitted, data: study.Dataset) -> DataFrame:
 def flagship(spark, sf_dir) -> DataFrame:
     """Readings to classes to a fitted classifier to its test scores."""
     data = _dataset(spark, sf_dir)
-    return _test_scores(models.fit(data.train, models.LOGISTIC, _SETTINGS[models.LOGISTIC]), data)
+    return _test_scores(models.fit(data.train, models.LOGISTIC), data)
 
 
 def _fit_query(key: str, name: str) -> None:
     @query(key, _class_facts_sql(name))
     def run(spark, sf_dir):
         data = _dataset(spark, sf_dir)
-        return _fitted_facts(models.fit(data.train, name, _SETTINGS[name]), data)
+        return _fitted_facts(models.fit(data.train, name), data)
 
 
 for _key, _name in {
@@ -105,13 +95,13 @@ for _key, _name in {
 @query("fit_gbt_softmax", _class_facts_sql(models.SOFTMAX_BOOSTING))
 def fit_gbt_softmax(spark, sf_dir):
     data = _dataset(spark, sf_dir)
-    return _fitted_facts(models.fit(data.train, models.SOFTMAX_BOOSTING, {"n_estimators": 2, "learning_rate": 0.5}), data)
+    return _fitted_facts(models.fit(data.train, models.SOFTMAX_BOOSTING), data)
 
 
 @query("platt_scaling", _class_facts_sql(models.LINEAR_SVM))
 def platt_scaling(spark, sf_dir):
     data = _dataset(spark, sf_dir)
-    made = models.platt_scaling(data.train, models.LINEAR_SVM, {"C": 10, "max_iter": 5})
+    made = models.platt_scaling(data.train, models.LINEAR_SVM, {})
     return _fitted_facts(made, data)
 
 
@@ -119,7 +109,7 @@ def platt_scaling(spark, sf_dir):
 def score_table(spark, sf_dir):
     data = _dataset(spark, sf_dir)
     names = (models.LOGISTIC, models.FOREST)
-    fitted = {n: models.fit(data.train, n, _SETTINGS[n]) for n in names}
+    fitted = {n: models.fit(data.train, n) for n in names}
     columns = list(next(iter(fitted.values())).probability_columns().values())
     return _class_facts(search.score_table(fitted, data.test, "row_id"), columns, "y")
 
@@ -227,7 +217,7 @@ def regularization_path(spark, sf_dir):
 @query("mlp_loss_curve", "SELECT true AS loss_falls, true AS every_iteration_once, true AS beats_majority")
 def mlp_loss_curve(spark, sf_dir):
     data = _dataset(spark, sf_dir)
-    made = curves.network_progress(data.train, "row_id", hidden=(12,), step=10, max_iter=40)
+    made = curves.network_progress(data.train, "row_id")
     first, last = F.min_by("loss", "iteration"), F.max_by("loss", "iteration")
     return made.agg(
         (last < first).alias("loss_falls"),
@@ -243,8 +233,8 @@ def mlp_loss_curve(spark, sf_dir):
 )
 def retrain_compare(spark, sf_dir):
     data = _dataset(spark, sf_dir)
-    now = models.fit(data.train, models.FOREST, _SETTINGS[models.FOREST])
-    made = study.retrain_compare(data.train, data.test, (models.FOREST, {"n_estimators": 2, "max_depth": 2}), now)
+    now = models.fit(data.train, models.FOREST)
+    made = study.retrain_compare(data.train, data.test, (models.BOOSTING, study.EARLIER_BOOSTER), now)
     cells = F.col("both_right") + F.col("both_wrong") + F.col("only_first_right") + F.col("only_second_right")
     return made.select(
         cells.alias("row_count"),
@@ -256,7 +246,7 @@ def retrain_compare(spark, sf_dir):
 @query("feature_importance", "SELECT true AS adds_up_to_one, true AS none_negative, true AS one_per_feature")
 def feature_importance(spark, sf_dir):
     data = _dataset(spark, sf_dir)
-    made = explain.feature_importance(models.fit(data.train, models.FOREST, _SETTINGS[models.FOREST]), data.names)
+    made = explain.feature_importance(models.fit(data.train, models.FOREST), data.names)
     return made.agg(
         (F.abs(F.sum("importance") - 1) < 1e-9).alias("adds_up_to_one"),
         (F.min("importance") >= 0).alias("none_negative"),
@@ -267,7 +257,7 @@ def feature_importance(spark, sf_dir):
 @query("feature_selection", "SELECT true AS kept_from_threshold, true AS means_of_kept_only, true AS some_kept")
 def feature_selection(spark, sf_dir):
     data = _dataset(spark, sf_dir)
-    chosen = explain.select_features(data.train, data.names, params=_SETTINGS[models.FOREST])
+    chosen = explain.select_features(data.train, data.names)
     values = chosen.apply(data.test).select(encode.slots("features", chosen.kept))
     means = values.groupBy("feature").agg(F.avg("value").alias("test_mean"))
     both = chosen.table.join(means, "feature", "left")
@@ -280,7 +270,7 @@ def feature_selection(spark, sf_dir):
 
 def _shap(spark, sf_dir):
     data = _dataset(spark, sf_dir)
-    made = models.fit(data.train, models.BOOSTING, _SETTINGS[models.BOOSTING])
+    made = models.fit(data.train, models.BOOSTING)
     return made, explain.tree_shap(made, data.test, data.names, "row_id")
 
 

@@ -304,7 +304,7 @@ def pca_project(spark, sf_dir):
 )
 def kmeans(spark, sf_dir):
     vectors = cluster.as_vectors(views.vectors(spark, sf_dir), "x")
-    made, cost, placed = cluster.kmeans(vectors, 3, starts=3)
+    made, cost, placed = cluster.kmeans(vectors, 3)
     centers = {i: [float(v) for v in c] for i, c in enumerate(made.clusterCenters())}
     again = cluster.assign_to_centers(placed, centers, "x", out="nearest")
     facts = again.agg((F.abs(F.sum("squared_distance") / F.lit(float(cost)) - 1) < 1e-3).alias("inertia_adds_up"))
@@ -326,7 +326,7 @@ def hierarchical_cluster(spark, sf_dir):
     "SELECT k, true AS inertia_falls, true AS silhouette_in_bounds FROM (SELECT CAST(unnest(range(2, 9)) AS int) AS k)",
 )
 def elbow_sweep(spark, sf_dir):
-    made = cluster.elbow_sweep(views.vectors(spark, sf_dir), range(2, 9), "x", "row_id", starts=3)
+    made = cluster.elbow_sweep(views.vectors(spark, sf_dir), range(2, 9), "x", "row_id")
     before = F.lag("inertia").over(Window.orderBy("k"))
     return made.select(
         "k",
