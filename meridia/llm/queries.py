@@ -1,4 +1,4 @@
-"""The ten registered queries and the pipeline."""
+"""The registered queries and the pipeline."""
 
 from __future__ import annotations
 
@@ -9,12 +9,15 @@ import corpus_pipeline
 from meridia.llm import (
     chat_format,
     decontaminate,
+    fill_in_middle,
     language_id,
     line_dedup,
+    merkle,
     mixing,
     near_dedup,
     quality_classifier,
     quality_rules,
+    token_count,
     url_filter,
     url_lists,
     warc,
@@ -157,6 +160,138 @@ FROM w
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages")).drop("url", "payload")
 
+_FILL_SQL = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+), d AS (
+  SELECT doc_id, text, regexp_extract_all(text, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u,
+         ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2, ('0x' || h[17:24])::BIGINT AS h3,
+         ('0x' || h[25:32])::BIGINT AS h4
+  FROM t
+), c AS (
+  SELECT *, len(u)::BIGINT AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a,
+         greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+         CASE WHEN text = '' OR h3 % 100 >= 50 OR contains(text, '<P>') OR contains(text, '<S>')
+                OR contains(text, '<M>') THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM d
+), p AS (
+  SELECT *, array_to_string(u[1:a], '') AS prefix, array_to_string(u[a + 1:b], '') AS middle,
+         array_to_string(u[b + 1:], '') AS suffix
+  FROM c
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM p
+"""
+
+
+@query("op11_fill_in_middle", _FILL_SQL)
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    back = fill_in_middle.restored(F.col("output"), F.col("form"))
+    digests = {"output_sha256": F.sha2("output", 256), "restored_sha256": F.sha2(back, 256)}
+    return made.withColumns(digests).drop("output")
+
+
+@query("op12_token_counts")
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_count.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+
+# DuckDB has no crc32: which rows were tampered with is read from a table of byte remainders made by the rule.
+_MERKLE_SQL = """
+WITH RECURSIVE crc_bits AS (
+  SELECT b, b::BIGINT AS c, 0 AS k FROM range(256) t(b)
+  UNION ALL
+  SELECT b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM crc_bits WHERE k < 8
+), crc_table AS (
+  SELECT list(c ORDER BY b) AS t FROM crc_bits WHERE k = 8
+), hashed AS (
+  SELECT doc_id, source, coalesce('v' || source, 'n') AS tree, text,
+         concat(coalesce(octet_length(encode(doc_id::VARCHAR)) || ':' || doc_id, '-'),
+                coalesce(octet_length(encode(source)) || ':' || source, '-'),
+                coalesce(octet_length(encode(lang)) || ':' || lang, '-'),
+                coalesce(octet_length(encode(n_chars::VARCHAR)) || ':' || n_chars, '-')) AS head,
+         replace(text, chr(10), '') AS changed,
+         list_reduce(list_prepend(4294967295::BIGINT,
+             list_transform(string_split(doc_id::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT)),
+             lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])) AS crc
+  FROM documents, crc_table
+), leaves AS (
+  SELECT doc_id, tree, sha256(head || coalesce(octet_length(encode(text)) || ':' || text, '-')) AS leaf,
+         CASE WHEN xor(crc, 4294967295) % 2 = 0
+              THEN sha256(head || coalesce(octet_length(encode(changed)) || ':' || changed, '-'))
+              ELSE sha256(head || coalesce(octet_length(encode(text)) || ':' || text, '-')) END AS shown
+  FROM hashed
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+         count(*) OVER (PARTITION BY tree) AS n
+  FROM leaves
+), nodes AS (
+  SELECT tree, 0 AS level, idx, n, leaf AS h FROM placed
+  UNION ALL
+  SELECT tree, level + 1, idx // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY idx))
+  FROM nodes WHERE n > 1 GROUP BY tree, level, idx // 3, n
+), subroots AS (
+  SELECT tree, h, level AS depth, row_number() OVER (ORDER BY tree) - 1 AS place, count(*) OVER () AS n
+  FROM nodes WHERE n = 1
+), tops AS (
+  SELECT 0 AS level, place AS idx, n, h FROM subroots
+  UNION ALL
+  SELECT level + 1, idx // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY idx))
+  FROM tops WHERE n > 1 GROUP BY level, idx // 3, n
+), every AS (
+  SELECT tree, level, idx, idx // 3 AS run, h FROM nodes WHERE n > 1
+), runs AS (
+  SELECT tree, level, run, list(h ORDER BY idx) AS hs FROM every GROUP BY ALL
+), top_runs AS (
+  SELECT level, idx // 3 AS run, list(h ORDER BY idx) AS hs FROM tops WHERE n > 1 GROUP BY ALL
+), steps AS (
+  SELECT p.tree, p.idx, r.level, (p.idx // (3 ** r.level)::BIGINT) % 3 AS pos, r.hs
+  FROM placed p JOIN runs r ON r.tree = p.tree AND r.run = p.idx // (3 ** (r.level + 1))::BIGINT
+  UNION ALL
+  SELECT p.tree, p.idx, s.depth + r.level, (s.place // (3 ** r.level)::BIGINT) % 3, r.hs
+  FROM placed p JOIN subroots s ON s.tree = p.tree
+  JOIN top_runs r ON r.run = s.place // (3 ** (r.level + 1))::BIGINT
+), proofs AS (
+  SELECT tree, idx, sha256(string_agg(array_to_string(hs[:pos], '') || array_to_string(hs[pos + 2:], ''), ''
+                                      ORDER BY level)) AS proof
+  FROM steps GROUP BY ALL
+), folds AS (
+  SELECT tree, idx, 0 AS level, shown AS h FROM placed
+  UNION ALL
+  SELECT f.tree, f.idx, f.level + 1,
+         sha256(array_to_string(s.hs[:s.pos], '') || f.h || array_to_string(s.hs[s.pos + 2:], ''))
+  FROM folds f JOIN steps s ON s.tree = f.tree AND s.idx = f.idx AND s.level = f.level
+), folded AS (
+  SELECT tree, idx, arg_max(h, level) AS folded_root FROM folds GROUP BY ALL
+)
+SELECT p.doc_id, p.leaf, s.h AS subroot, t.h AS root, coalesce(r.proof, sha256('')) AS proof_sha256, f.folded_root,
+       f.folded_root = t.h AS verified
+FROM placed p JOIN subroots s ON s.tree = p.tree CROSS JOIN (SELECT h FROM tops WHERE n = 1) t
+LEFT JOIN proofs r ON r.tree = p.tree AND r.idx = p.idx JOIN folded f ON f.tree = p.tree AND f.idx = p.idx
+"""
+
+
+@query("op13_merkle_manifest", _MERKLE_SQL)
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.lit(False))
+    shown = merkle.leaf_hash([*map(F.col, fields[:-1]), F.replace(F.col("text"), F.lit("\n"), F.lit(""))])
+    docs = table(spark, sf_dir, "documents").withColumn("shown", F.when(tampered, shown))
+    made = merkle.manifest(docs, fields, "source", "doc_id", keep=["doc_id", "shown"])
+    root = merkle.folded(F.coalesce("shown", "leaf"), F.col("path"))
+    return made.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+        root.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
 
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
