@@ -196,7 +196,8 @@ def manifest(rows: DataFrame, fields: Sequence[str], group: str, order: str, kee
         leaf_hash([F.col(c) for c in fields]).alias("hash"),
         F.struct(F.lit(0).alias("_"), *keep).alias("payload"),
     )
-    below, subroots = forest(leaves, ["_order", "hash"])
+    # Texts are hashed once: finding ranges reads the leaves twice.
+    below, subroots = forest(materialize(leaves, "merkle-hashes"), ["_order", "hash"])
     tops = subroots.select(
         F.lit("").alias("tree"), "hash", F.struct("tree", "leaves").alias("payload"), F.col("tree").alias("_order")
     )
