@@ -15,7 +15,9 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.blocks import dense_blocks
 from ..functions.hashing import hash_int, hash_key
+from . import lloyd
 from .neighbors import as_udf, fresh, squared_distances
 from .neighbors import nearest as closest
 
@@ -29,15 +31,10 @@ def as_vectors(df: DataFrame, array: str, out: str = "features") -> DataFrame:
 def kmeans(
     df: DataFrame, k: int, features: str = "features", starts: int = 10, seed: int = 42, out: str = "cluster"
 ):
-    """The best of several starts by inertia: (model, inertia, rows with their cluster)."""
-    best = None
-    cached = df.select(features).persist()
-    for start in range(starts):
-        model = KMeans(k=k, seed=seed + start, featuresCol=features, predictionCol=out).fit(cached)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
-    cached.unpersist()
-    return best, best.summary.trainingCost, best.transform(df)
+    """The best of several starts by inertia: (its run, inertia, rows with their cluster)."""
+    with dense_blocks(df, features) as blocks:
+        best = lloyd.best_runs(lloyd.many_runs(blocks, [k], starts, seed))[k]
+    return best, best.inertia, best.transform(df, features, out)
 
 
 def class_centers(df: DataFrame, label: str, array: str) -> dict:
@@ -224,18 +221,20 @@ def hierarchical(
 def elbow_sweep(
     df: DataFrame, ks: Sequence[int], array: str, key: str, starts: int = 10, seed: int = 42, metric: str = "squared"
 ) -> DataFrame:
-    """Inertia and silhouette for each k. ``metric="euclidean"`` is quadratic in the rows."""
+    """Inertia and silhouette for each k, all starts of all k in one loop over the rows.
+
+    ``metric="euclidean"`` is quadratic in the rows.
+    """
     if metric not in ("squared", "euclidean"):
         raise ValueError(f"unknown silhouette metric {metric!r}")
-    vectors = as_vectors(df.select(key, array), array).persist()
-    rows = []
-    for k in ks:
-        _, cost, placed = kmeans(vectors, k, starts=starts, seed=seed)
-        if metric == "euclidean":
-            each = silhouette_euclidean(placed, key, array, "cluster")
-            score = each.agg(F.avg("silhouette")).first()[0]
+    vectors = df.select(key, array)
+    with dense_blocks(vectors, array) as blocks:
+        best = lloyd.best_runs(lloyd.many_runs(blocks, list(ks), starts, seed))
+        if metric == "squared":
+            scores = lloyd.silhouettes(blocks, list(best.values()))
         else:
-            score = silhouette_squared(placed)
-        rows.append((k, float(cost), float(score), metric))
-    vectors.unpersist()
+            placed = (run.transform(vectors, array) for run in best.values())
+            each = (silhouette_euclidean(p, key, array, "cluster") for p in placed)
+            scores = [e.agg(F.avg("silhouette")).first()[0] for e in each]
+    rows = [(k, best[k].inertia, s, metric) for k, s in zip(best, scores, strict=True)]
     return df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double, metric string")

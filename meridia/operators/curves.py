@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ranks import hash_rank
-from . import models
+from . import models, stacked
 from .metrics import classification_metrics
 
 LEARNING_SHARES = [0.1 + 0.9 * i / 7 for i in range(8)]
@@ -97,18 +97,30 @@ def regularization_path(
     side: str = "split",
     values: Sequence[float] = tuple(C_PATH),
     params: Mapping[str, Any] | None = None,
-    seed: int = 42,
 ) -> DataFrame:
-    """Train and test macro F1 of the logistic model for each C."""
-    cached = df.withColumn("side", F.col(side)).persist()
-    train = cached.where(F.col("side") == "train")
-    shape = models.describe(train, label)
-    rows = []
-    for point, c in enumerate(values):
-        made = models.fit(train, models.LOGISTIC, {**(params or {}), "C": c}, label, shape, seed)
-        rows += [(point, float(c), 0, s, f, n) for s, f, n in _both_sides(made, cached, label)]
-    cached.unpersist()
-    return df.sparkSession.createDataFrame(rows, _CURVE)
+    """Train and test macro F1 of the logistic model for each C, all fitted in one loop over the training rows.
+
+    ``side`` is ``train`` for the rows that are fitted on and one other value for those that only judge.
+    """
+    sides = sorted(r[0] for r in df.select(side).distinct().collect())
+    others = [s for s in sides if s != "train"]
+    if len(others) > 1 or "train" not in sides:
+        raise ValueError(f"expected train and one other side, found {sides}")
+    rest = dict(params or {})
+    limit = rest.pop("max_iter", None)
+    if rest:
+        raise ValueError(f"{models.LOGISTIC}: no Spark counterpart for {sorted(rest)}")
+    rows = df.withColumn("side", (F.col(side) != "train").cast("int"))
+    shape = models.describe(rows.where("side = 0"), label)
+    tasks = [stacked.Task(float(c), 1, shape.n_rows) for c in values]
+    with stacked.blocks_of(rows, shape.classes, label, "side") as blocks:
+        counts = stacked.fit_stacked(blocks, models.LOGISTIC, shape.classes, tasks, limit).pair_counts(blocks)
+    points = [
+        (point, float(c), 0, s, stacked.macro_f1(counts[point, at]), int(counts[point, at].sum()))
+        for point, c in enumerate(values)
+        for at, s in enumerate(["train", *others])
+    ]
+    return df.sparkSession.createDataFrame(points, _CURVE)
 
 
 def curve_summary(curve: DataFrame) -> DataFrame:

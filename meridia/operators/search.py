@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hash_key
-from . import models
+from . import models, stacked
 from .metrics import classification_metrics, roc_auc_macro, roc_curve
 from .models import Fitted, Shape, build_estimator, describe, with_label_index
 
@@ -120,7 +120,8 @@ def search(
     """Cross-validate every candidate on the shared folds by macro F1 and refit the best on all rows.
 
     A candidate is a whole estimator here, since one parameter can change what the estimator is made
-    of (layers, kernel). They are tried as one parameter of a one-stage pipeline.
+    of (layers, kernel). They are tried as one parameter of a one-stage pipeline. Linear models that differ
+    in C alone are fitted together instead, all candidates and folds in one loop over the rows.
 
     ``parallelism`` stays 1 by default: PySpark 4.1 hands one set of job properties to all fitting
     threads, and two SQL jobs that start at the same moment can then fail.
@@ -129,7 +130,13 @@ def search(
     folds = train.agg(F.count_distinct(fold)).first()[0]
     inner = shape.with_rows(1 - 1 / folds)
     fixed = dict(fixed or {})
-    estimators = [build_estimator(name, {**fixed, **c}, inner, seed) for c in candidates]
+    every = [{**fixed, **c} for c in candidates]
+    if stacked.stackable(name, every):
+        by_fold, _ = stacked.cross_validate(train, name, every, shape, label, fold)
+        scores = [float(v) for v in by_fold.mean(axis=1)]
+        best = models.fit(train, name, every[scores.index(max(scores))], label, shape, seed)
+        return SearchResult([dict(c) for c in candidates], scores, [float(v) for v in by_fold.std(axis=1)], best)
+    estimators = [build_estimator(name, c, inner, seed) for c in every]
     indexed = with_label_index(train, label, shape.classes).withColumn(fold, F.col(fold).cast("int")).persist()
     slot = Pipeline(stages=[])
     validator = CrossValidator(
@@ -144,7 +151,7 @@ def search(
     made = validator.fit(indexed)
     scores = list(made.avgMetrics)
     place = scores.index(max(scores))
-    best = models.fit(train, name, {**fixed, **candidates[place]}, label, shape, seed)
+    best = models.fit(train, name, every[place], label, shape, seed)
     indexed.unpersist()
     return SearchResult([dict(c) for c in candidates], scores, list(made.stdMetrics), best)
 

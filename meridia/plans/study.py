@@ -239,7 +239,7 @@ def grid_study(
             dataset.test.select(key, "label", "features", F.lit("test").alias("split"))
         )
         made.tables["regularization_path"] = curves.regularization_path(
-            both, values=strengths, params=(fixed or {}).get(models.LOGISTIC), seed=seed
+            both, values=strengths, params=(fixed or {}).get(models.LOGISTIC)
         )
         made.tables["network_progress"] = curves.network_progress(
             dataset.train, key, max_iter=network_steps, seed=seed
