@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -184,3 +185,72 @@ def test_published_deltas(spark):
 def test_best_model_takes_the_first_of_a_tie(spark):
     df = spark.createDataFrame([("a", 0.5, 0), ("b", 0.9, 1), ("c", 0.9, 2)], "model string, f1 double, place int")
     assert stats.best_model(df, "f1", "place").first()["best_model"] == "b"
+
+
+def _counted(ranks: list[tuple[int, int]], at_least: int) -> float:
+    """Share of all signs with at least that sum, in whole numbers."""
+    ways = {0: 1}
+    for rank, n in ranks:
+        for _ in range(n):
+            more = dict(ways)
+            for total, count in ways.items():
+                more[total + rank] = more.get(total + rank, 0) + count
+            ways = more
+    signs = 2 ** sum(n for _, n in ranks)
+    return sum(c for total, c in ways.items() if total >= at_least) / signs
+
+
+@pytest.mark.parametrize(
+    "ranks", [[(2, 1)], [(3, 2), (6, 1)], [(2 * i, 1) for i in range(1, 60)], [(11, 10), (31, 10), (50, 9)], [(101, 100)]]
+)
+def test_signed_ranks_against_counting(ranks):
+    made = stats._positive_ranks(ranks)
+    whole = sum(r * n for r, n in ranks)
+    for at in {0, 1, whole // 3, whole // 2, whole * 3 // 4, whole}:
+        assert made.chances[max(0, at - made.first) :].sum() == pytest.approx(_counted(ranks, at), rel=1e-9)
+
+
+def _p(ranks, doubled, method="exact"):
+    n = sum(c for _, c in ranks)
+    ties = [{"mid": r / 2, "n": c} for r, c in ranks]
+    if method == "normal":
+        ties = [{"mid": float(sum(c**3 - c for _, c in ranks)), "n": 0}]
+    columns = [[n], [doubled / 2], [ties], [method == "exact"]]
+    return stats._signed_rank_p(*map(pd.Series, columns))[0]
+
+
+@pytest.mark.parametrize(("n", "copies"), [(1023, 1), (1024, 1), (5000, 1), (40, 50), (2, 3000)])
+def test_long_signed_rank_tests(n, copies):
+    ranks = [(2 * copies * i + copies + 1, copies) for i in range(n)]
+    signs = np.random.default_rng(n).binomial(copies, 0.51, n)
+    doubled = sum(r * int(s) for (r, _), s in zip(ranks, signs))
+    exact, normal = _p(ranks, doubled), _p(ranks, doubled, "normal")
+    if n <= 1024 and n * copies <= 2000:
+        assert exact == pytest.approx(_by_floats(ranks, doubled), rel=1e-9)
+    # the limit is off by about half the chance of the sum itself, and by more where there are few ranks
+    assert exact == pytest.approx(normal, abs=2e-4 if n > 100 else 1e-2)
+
+
+@pytest.mark.parametrize(("n", "copies"), [(600, 1), (40, 50), (2, 3000)])
+def test_both_tails_add_up(n, copies):
+    ranks = [(2 * copies * i + copies + 1, copies) for i in range(n)]
+    made = stats._positive_ranks(ranks)
+    whole = sum(r * c for r, c in ranks)
+    assert made.chances.sum() == pytest.approx(1.0, abs=1e-12)
+    assert made.first + len(made.chances) - 1 == whole - made.first or len(made.chances) < whole
+    assert (made.chances * (made.first + np.arange(len(made.chances)))).sum() == pytest.approx(whole / 2)
+
+
+def test_a_group_of_many_pairs(spark):
+    rows = [(float(d if d % 7 % 2 else -d), 0.0) for d in range(1, 1101)]
+    found = stats.wilcoxon_test(spark.createDataFrame(rows, "x double, y double"), []).first()
+    assert found["used"] == 1100 and found["statistic"] == sum(d for d in range(1, 1101) if d % 7 % 2)
+    assert found["p_value"] == pytest.approx(_p([(2 * i, 1) for i in range(1, 1101)], 2 * found["statistic"]), rel=1e-9)
+
+
+def _by_floats(ranks, at_least):
+    chances = np.array([1.0])
+    for rank, n in ranks:
+        for _ in range(n):
+            chances = (np.pad(chances, (0, rank)) + np.pad(chances, (rank, 0))) / 2
+    return chances[int(round(at_least)) :].sum()

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from meridia.operators import balance, cluster, encode, neighbors, prep, split
+from meridia.functions.blocks import dense_blocks
+from meridia.operators import balance, cluster, encode, lloyd, neighbors, prep, split
 
 from . import views
 from .judging import _SPLIT_SQL
@@ -313,6 +315,35 @@ def kmeans(spark, sf_dir):
     )
 
 
+@query(
+    "lloyd_step",
+    f"""WITH {_CENTERS_SQL}, members AS (SELECT a.cluster, a.squared_distance, v.x FROM assigned a JOIN vectors v USING (row_id)),
+    cost AS (SELECT sum(squared_distance) AS inertia FROM members),
+    dims AS (SELECT unnest(range(1, {views.DIMENSIONS + 1})) AS i)
+    SELECT cluster, CAST(i - 1 AS int) AS dimension, count(*) AS row_count, {fixed_sql("avg(x[i])", 8)} AS center,
+           (SELECT {fixed_sql("inertia", 6)} FROM cost) AS inertia
+    FROM members, dims GROUP BY cluster, i""",
+)
+def lloyd_step(spark, sf_dir):
+    """One step from the class means, beside a second run that does not change it."""
+    vectors = views.vectors(spark, sf_dir)
+    centers = cluster.class_centers(vectors, "label", "x")
+    start = np.array(list(centers.values()))
+    with dense_blocks(vectors, "x") as blocks:
+        counts, sums, costs = lloyd.step(blocks, [start, start[:1]], start.mean(0))
+    rows = [
+        (name, d, int(n), float(total[d] / n), float(costs[0]))
+        for name, n, total in zip(centers, counts[0], sums[0], strict=True)
+        if n
+        for d in range(len(total))
+    ]
+    kind = vectors.schema["label"].dataType.simpleString()
+    made = spark.createDataFrame(
+        rows, f"cluster {kind}, dimension int, row_count long, center double, inertia double"
+    )
+    return fix(fix(made, ["center"], 8), ["inertia"], 6)
+
+
 @query("hierarchical_cluster", "SELECT vec_id AS row_id, label, 3::BIGINT AS clusters FROM embeddings")
 def hierarchical_cluster(spark, sf_dir):
     vectors = views.vectors(spark, sf_dir)
