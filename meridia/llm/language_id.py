@@ -117,7 +117,6 @@ def train(texts: list[str], labels: list[str], seed: int = 7) -> Model:
     np.add.at(counts, (word, of_word), 1)
     sure = (counts.sum(1) >= 3) & (counts.max(1) >= 0.9 * counts.sum(1))
     lexicon, lexicon_language = unique[sure], counts[sure].argmax(1)
-    rows, features = word_features(words, first, hashes, lexicon, lexicon_language)
     rng = np.random.default_rng(seed)
     usable = [
         [(s, e) for s, e, x in zip(words.bounds[:-1], words.bounds[1:], of_text, strict=True) if x == c and e > s]
@@ -138,17 +137,28 @@ def train(texts: list[str], labels: list[str], seed: int = 7) -> Model:
             at = s + rng.integers(e - s - run + 1)
             steps[i, filled : filled + run], gold[i, filled : filled + run] = word[at : at + run], c
             filled += run
+    # Features of the words that are learned from, word by word: a step looks at its own words only.
+    used, steps = np.unique(steps, return_inverse=True)
+    steps = steps.reshape(SEQUENCES, STEPS)
+    rows, features = word_features(words, first[used], hashes, lexicon, lexicon_language)
+    features = features[np.argsort(rows, kind="stable")].astype(np.int32)
+    bounds = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=len(used)))])
+    del words, hashes, unique, first, word, of_word, counts, rows
     grown, grown_t = np.full_like(weights, 1e-3), np.full_like(transitions, 1e-3)
     for _ in range(EPOCHS):
         for batch in np.array_split(rng.permutation(SEQUENCES), SEQUENCES // BATCH):
-            emission = _scores(rows, features, weights, len(unique))[steps[batch]]
+            own, at = np.unique(steps[batch], return_inverse=True)
+            size = bounds[own + 1] - bounds[own]
+            rows = np.repeat(np.arange(len(own)), size)
+            found = features[np.arange(len(rows)) + np.repeat(bounds[own] - np.cumsum(size) + size, size)]
+            emission = _scores(rows, found, weights, len(own))[at.reshape(len(batch), STEPS)]
             potentials = np.exp(emission - emission.max(2, keepdims=True))
             marginals, pairs = _chain(potentials, np.exp(transitions))
             target = np.eye(k)[gold[batch]]
-            change = np.zeros((len(unique), k))
-            np.add.at(change, steps[batch].ravel(), (target - marginals).reshape(-1, k))
+            change = np.zeros((len(own), k))
+            np.add.at(change, at.ravel(), (target - marginals).reshape(-1, k))
             gradient = np.stack(
-                [np.bincount(features, change[rows, c], minlength=BUCKETS) for c in range(k)], axis=1
+                [np.bincount(found, change[rows, c], minlength=BUCKETS) for c in range(k)], axis=1
             ) / len(batch) - DECAY * weights
             grown += gradient**2
             weights += RATE * gradient / np.sqrt(grown)
