@@ -289,7 +289,7 @@ def finalize_columns(spark, sf_dir):
     return fix(prep.finalize(flagged, extra=["row_id"]), [*_CHECKED, "estimated_hour_share"])
 
 
-_PROFILED = ["carbon_direct", "cfe_percent", "data_source", "data_estimation_method", "source_file"]
+_PROFILED = ["carbon_direct", "carbon_lifecycle", "cfe_percent", "re_percent", *prep.TEXTS]
 _PROFILE_SQL = " UNION ALL ".join(
     f"SELECT month, '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS null_count,"
     f" {fixed_sql(f'(count(*) - count({c})) / count(*)', 6)} AS null_share FROM gaps GROUP BY month"
@@ -322,14 +322,14 @@ def class_counts(spark, sf_dir):
 @query(
     "feature_target_split",
     f"""WITH {views.LABELED_SQL}
-    SELECT row_id, target_quantile_class AS label, {fixed_sql("carbon_direct")} AS carbon_direct, month, data_source
-    FROM labeled""",
+    SELECT {fix_sql([*_CHECKED, "estimated_hour_share"])}
+    FROM (SELECT row_id, target_quantile_class AS label, {", ".join(prep.FEATURE_ORDER)} FROM labeled)""",
 )
 def feature_target_split(spark, sf_dir):
     labeled = views.labeled(spark, sf_dir)
     features, target = encode.split_features_and_target(labeled, prep.TARGET)
-    wanted = [c for c in ("carbon_direct", "month", "data_source") if c in features]
-    return fix(labeled.select("row_id", F.col(target).alias("label"), *wanted), ["carbon_direct"])
+    wanted = [c for c in prep.FEATURE_ORDER if c in features]
+    return fix(labeled.select("row_id", F.col(target).alias("label"), *wanted), [*_CHECKED, "estimated_hour_share"])
 
 
 _ROLES_SQL = " UNION ALL ".join(

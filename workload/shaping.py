@@ -13,7 +13,7 @@ from . import views
 from .judging import _SPLIT_SQL
 from .registry import fix, fix_sql, fixed, fixed_sql, query
 
-_SCALED = ["carbon_direct", "carbon_lifecycle", "cfe_percent", "re_percent", "day", "month", "hour", "day_of_week"]
+_SCALED = prep.NUMERIC_FEATURES
 
 
 def _split(spark, sf_dir):
