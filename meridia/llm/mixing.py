@@ -2,8 +2,8 @@
 
 Each source's documents are laid end to end and cut into blocks of ``BLOCK`` words. The output is a row of
 slots in shards. Which source fills a slot is drawn by a pseudorandom permutation of all slots over the
-sources' ranges: within a shard the counts are multinomial, and over all shards they add up to the sources'
-targets, so no source is overdrawn. A source's slots number its passes over its blocks; within a pass a
+sources' ranges: the counts of a shard are drawn without replacement (multivariate hypergeometric, not
+independent multinomials), and over all shards they add up to the sources' targets, so no source is overdrawn. A source's slots number its passes over its blocks; within a pass a
 second permutation, of its own per source and pass, maps slots to blocks, and blocks are joined by index.
 """
 
