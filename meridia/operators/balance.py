@@ -11,6 +11,7 @@ from ..functions.hashing import hash_key
 from ..functions.ranks import hash_rank
 from .neighbors import knn_join
 
+# The label of a skipped balancing and the limits that decide on it.
 SKIPPED = "Skipped (already balanced)"
 MIN_SHARE = 0.2
 MIN_COUNT = 6
