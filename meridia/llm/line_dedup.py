@@ -22,9 +22,7 @@ from meridia.session import materialize
 
 WHITE = " \t\n\x0b\x0c\r"
 MIN_WORDS = 8
-_CHUNK = 64
-# Sums of word hashes of this size stay exact for lines of up to 30 million words.
-_WORD_HASH = 1 << 38
+_CHUNK = 16
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -62,63 +60,55 @@ def _half_keys(words: Column, n: Column) -> Column:
     )
 
 
-def _running(values: str) -> list[tuple[str, Column]]:
-    """Columns, one after the other, that end in running sums of an array, in chunks so that long ones stay cheap."""
-    zero = F.lit(0).cast("long")
+def _xor(a: Column, b: Column) -> Column:
+    return a.bitwiseXOR(b)
 
-    def plus(a: Column, b: Column) -> Column:
-        return a + b
 
+def _running(values: str) -> list[tuple[str, Column]]:
+    """Columns, one after the other, that end in running xors of an array, in chunks so that long ones stay cheap."""
+    zero = F.lit(0).cast("long")
     chunks = F.sequence(F.lit(0), F.floor((F.size(values) - 1) / _CHUNK).cast("int"))
     return [
-        ("_sums", F.transform(chunks, lambda c: F.aggregate(F.slice(values, c * _CHUNK + 1, _CHUNK), zero, plus))),
-        ("_before", F.transform("_sums", lambda s, i: F.aggregate(F.slice("_sums", 1, i), zero, plus))),
+        ("_parts", F.transform(chunks, lambda c: F.aggregate(F.slice(values, c * _CHUNK + 1, _CHUNK), zero, _xor))),
+        ("_before", F.transform("_parts", lambda s, i: F.aggregate(F.slice("_parts", 1, i), zero, _xor))),
         (
             "_running",
-            F.transform(
-                values,
-                lambda x, i: F.get("_before", F.floor(i / _CHUNK).cast("int"))
-                + F.aggregate(
-                    F.slice(values, F.floor(i / _CHUNK).cast("int") * _CHUNK + 1, i % _CHUNK + 1), zero, plus
-                ),
+            F.flatten(
+                F.transform(
+                    "_before",
+                    lambda before, c: F.transform(
+                        F.slice(values, c * _CHUNK + 1, _CHUNK),
+                        lambda x, i: F.aggregate(F.slice(values, c * _CHUNK + 1, i + 1), before, _xor),
+                    ),
+                )
             ),
         ),
     ]
 
 
-def _word_hash(word: Column, at: Column) -> Column:
-    return F.pmod(F.xxhash64(word, at), F.lit(_WORD_HASH))
-
-
 def _variants(lines: DataFrame) -> DataFrame:
     """Rows ``key, left_out, place, h1`` of every variant of ``lines`` (place, h1, words), 0 for the line itself.
 
-    A sequence's hash is the sum of hashes of (word, its place); leaving out the next word instead moves one
-    word by one place, so all variants' hashes are running sums of small changes.
+    A sequence's hash is the xor of 64-bit hashes of (word, its place); leaving out the next word instead moves one
+    word by one place, so all variants' hashes are running xors of small changes.
     """
     zero = F.lit(0).cast("long")
     rows = lines.select(
         "place",
         "h1",
-        F.transform("words", lambda w, i: _word_hash(w, i)).alias("_here"),
-        F.transform("words", lambda w, i: _word_hash(w, i - 1)).alias("_moved"),
+        F.transform("words", lambda w, i: F.xxhash64(w, i)).alias("_here"),
+        F.transform("words", lambda w, i: F.xxhash64(w, i - 1)).alias("_moved"),
     )
-    total = F.aggregate("_moved", zero, lambda a, b: a + b)
-    changes = F.transform(
-        "_moved",
-        lambda m, i: F.when(i == 0, F.col("_total") - m).otherwise(F.get("_here", i - 1) - m),
-    )
-    rows = rows.withColumn("_total", total).withColumn("_changes", changes)
-    rows = rows.withColumn("_own", F.aggregate("_here", zero, lambda a, b: a + b)).drop("_here", "_moved")
+    rows = rows.withColumns({"_total": F.aggregate("_moved", zero, _xor), "_own": F.aggregate("_here", zero, _xor)})
+    # Without the first word all others move; each next variant has one more word back at its own place.
+    earlier = F.concat(F.array("_total"), F.slice("_here", F.lit(1), F.size("_here") - 1))
+    rows = rows.withColumn("_changes", F.zip_with("_moved", earlier, _xor)).drop("_here", "_moved", "_total")
     for name, column in _running("_changes"):
         rows = rows.withColumn(name, column)
-    n = F.size("_changes")
-    own = F.struct(F.xxhash64(n, F.col("_own")).alias("key"), F.lit(0).alias("left_out"))
-    others = F.transform(
-        "_running", lambda v, i: F.struct(F.xxhash64(n - 1, v).alias("key"), (i + 1).alias("left_out"))
-    )
-    rows = rows.select("place", "h1", F.explode(F.concat(F.array(own), others)).alias("v"))
-    return rows.select("v.key", "v.left_out", "place", "h1")
+    n = F.size("_changes").alias("n")
+    rows = rows.select("place", "h1", n, F.posexplode(F.concat(F.array("_own"), "_running")).alias("left_out", "v"))
+    length = F.when(F.col("left_out") == 0, F.col("n")).otherwise(F.col("n") - 1)
+    return rows.select(F.xxhash64(length, "v").alias("key"), "left_out", "place", "h1")
 
 
 def _one_edit(a: str, b: str) -> Column:
@@ -153,7 +143,10 @@ def decisions(docs: DataFrame) -> DataFrame:
         F.xxhash64(F.lit(1), "words").alias("h2"),
         F.when(n >= MIN_WORDS, _half_keys(F.col("words"), n)).alias("halves"),
     )
-    keys = [F.max(F.col("halves")[i]["key"]).alias(f"k{i}") for i in range(4)]
+    halves = [F.col("halves")[i]["key"].alias(f"k{i}") for i in range(4)]
+    # Texts are split and hashed once; the numbers are read twice.
+    hashed = materialize(hashed.select("doc_id", "text_hash", "line_no", "place", "h1", "h2", *halves), "line-hashes")
+    keys = [F.max(f"k{i}").alias(f"k{i}") for i in range(4)]
     distinct = materialize(
         hashed.groupBy("h1", "h2").agg(F.min("place").alias("place"), F.count("*").alias("n"), *keys), "lines"
     )
@@ -187,7 +180,10 @@ def _near(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     line = F.btrim(F.get("_lines", F.col("s.line_no")), F.lit(WHITE))
     found = found.select("s.place", "s.h1", F.split(line, f"[{WHITE}]+").alias("words"))
     # Rows that share a doc_id may hold other lines at the same place.
-    found = materialize(found.where(F.xxhash64("words") == F.col("h1")).dropDuplicates(["place", "h1"]), "line-words")
+    found = found.where(F.xxhash64("words") == F.col("h1")).dropDuplicates(["place", "h1"])
+    # A line makes as many variants as it has words, so few megabytes of lines are spread over all tasks.
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), docs.sparkSession.sparkContext.defaultParallelism)
+    found = materialize(found.repartition(tasks, "h1"), "line-words")
 
     variants = materialize(_variants(found), "variants")
     replaced = variants.groupBy("key", "left_out").agg(F.min("place").alias("m"), F.count("*").alias("n"))
