@@ -1,10 +1,15 @@
 """Mixing of sources to target weights, in DataFrame operations only.
 
 Each source's documents are laid end to end and cut into blocks of ``BLOCK`` words. The output is a row of
-slots in shards. Which source fills a slot is drawn by a pseudorandom permutation of all slots over the
-sources' ranges: the counts of a shard are drawn without replacement (multivariate hypergeometric, not
-independent multinomials), and over all shards they add up to the sources' targets, so no source is overdrawn. A source's slots number its passes over its blocks; within a pass a
-second permutation, of its own per source and pass, maps slots to blocks, and blocks are joined by index.
+slots in shards. Every slot draws its source by a hash, in proportion to the sources' slots, so the counts of a
+shard are a multinomial draw of their own. Over all shards such counts miss the targets by chance; so that no source
+is overdrawn, a source's drawn slots are numbered by a pseudorandom permutation, and those numbered past its
+slots go to the sources that were drawn too seldom, in the order of their names. Of n slots these are about sqrt(n),
+spread evenly over the shards.
+
+A source's slot numbers are its passes over its blocks; within a pass a second permutation, of its own per source and
+pass, maps them to blocks, which are joined by index. The last block, which may be short, comes last in every pass.
+The last pass stops at the word where the target is met, so its last slot may take only the first words of its block.
 """
 
 from __future__ import annotations
@@ -19,6 +24,7 @@ from meridia.session import materialize
 WHITE = " \t\n\x0b\x0c\r"
 BLOCK = 128
 SHARD_SLOTS = 4096
+SHARD_GROUP = 4096
 WEIGHTS = (3.0, 1.0, 2.0)
 BUDGET, REPEATS = 1.5, 2
 # Documents of a source are numbered in groups of about this many words, so no task sees a whole source.
@@ -29,8 +35,9 @@ ADDED = ("size", "source_size", "target", "taken")
 
 @dataclass
 class Mix:
-    """``sources``: sizes, targets and slots; ``slots``: shard, slot, source and block; ``pieces``: which words
-    of which row stand in which block; ``rows``: the documents' rows."""
+    """``sources``: sizes, targets and slots; ``slots``: shard, slot, source, block and ``cut``, the number of first
+    words taken where that isn't the whole block; ``pieces``: which words of which row stand in which block; ``rows``:
+    the documents' rows."""
 
     sources: DataFrame
     slots: DataFrame
@@ -103,6 +110,84 @@ def _numbered(rows: DataFrame) -> DataFrame:
     return rows.withColumn("start", F.col("offset") + F.col("inner")).drop("group", "inner", "offset")
 
 
+def _sum_before(column: str) -> Column:
+    """Running sum over the sources by name, without the own row."""
+    in_order = Window.orderBy(F.col("source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(column).over(in_order), F.lit(0))
+
+
+def _met(rows: DataFrame, at: str, ranges: DataFrame, begin: str, count: str, total: int) -> DataFrame:
+    """Rows joined to the one of ``ranges`` (begin, count) that their number ``at`` below ``total`` falls into.
+
+    Both meet by cells of the numbers' range, so neither side needs to be small.
+    """
+    cell = max(1, total // 4096)
+    last = F.col(begin) + F.col(count) - 1
+    cells = F.explode(F.sequence(F.floor(F.col(begin) / cell), F.floor(last / cell)))
+    cut = ranges.where(F.col(count) > 0).withColumn("_cell", cells)
+    rows = rows.withColumn("_cell", F.floor(F.col(at) / cell))
+    return rows.join(cut, "_cell").where((F.col(at) >= F.col(begin)) & (F.col(at) <= last)).drop("_cell")
+
+
+def _drawn(sources: DataFrame, seed: int) -> DataFrame:
+    """``shard, slot, source_key, nth``: the drawn source of every slot and the number of the draw in its source.
+
+    Draws are counted by shard, the counts added up over groups of shards, and slots numbered inside their shard.
+    """
+    total = int(sources.agg(F.sum("slots")).first()[0] or 0)
+    draws = sources.sparkSession.range(total).select(
+        F.floor(F.col("id") / SHARD_SLOTS).alias("shard"),
+        (F.col("id") % SHARD_SLOTS).alias("slot"),
+        F.pmod(F.xxhash64(F.lit("draw"), F.lit(seed), "id"), F.lit(max(total, 1)).cast("long")).alias("draw"),
+    )
+    drawn = _met(draws, "draw", sources.select("source_key", "first", "slots"), "first", "slots", total)
+    drawn = drawn.select("shard", "slot", "source_key")
+    counts = drawn.groupBy("shard", "source_key").agg(F.count("*").alias("n"))
+    counts = materialize(counts.withColumn("group", F.floor(F.col("shard") / SHARD_GROUP)), "shard-counts")
+    groups = counts.groupBy("source_key", "group").agg(F.sum("n").alias("n"))
+    earlier = Window.partitionBy("source_key").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
+    groups = groups.select("source_key", "group", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
+    inside = Window.partitionBy("source_key", "group").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.withColumn("inner", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(groups, ["source_key", "group"])
+    before = before.select("shard", "source_key", (F.col("offset") + F.col("inner")).alias("before"))
+    in_shard = F.row_number().over(Window.partitionBy("shard", "source_key").orderBy("slot")) - 1
+    numbered = drawn.withColumn("in_shard", in_shard).join(before, ["shard", "source_key"])
+    return numbered.select("shard", "slot", "source_key", (F.col("before") + F.col("in_shard")).alias("nth"))
+
+
+def _slots(drawn: DataFrame, sources: DataFrame, seed: int) -> DataFrame:
+    """``shard, slot, source_key, turn, block, cut`` from draws: surplus slots handed over, numbers mapped to blocks."""
+    drawn = materialize(drawn, "drawn")
+    found = drawn.groupBy("source_key").agg(F.count("*").alias("found"))
+    plan = sources.join(found, "source_key", "left").withColumn("found", F.coalesce("found", F.lit(0)))
+    plan = plan.withColumn("over", F.greatest(F.col("found") - F.col("slots"), F.lit(0)))
+    plan = plan.withColumn("short", F.greatest(F.col("slots") - F.col("found"), F.lit(0)))
+    plan = materialize(plan.withColumns({"over_before": _sum_before("over"), "short_before": _sum_before("short")}), "draw-plan")
+
+    of_source = ["source_key", "found", "slots", "over_before"]
+    place = permuted(F.col("nth"), F.col("found"), F.lit("place"), F.lit(seed), F.col("source_key"))
+    placed = drawn.join(plan.select(*of_source), "source_key").withColumn("number", place)
+    # Read twice, and the permutation is what costs here.
+    placed = materialize(placed.select("shard", "slot", *of_source, "number"), "placed")
+    kept = placed.where("number < slots").select("shard", "slot", "source_key", "number")
+    over = placed.where("number >= slots").select(
+        "shard", "slot", (F.col("over_before") + F.col("number") - F.col("slots")).alias("nth_over")
+    )
+    moved = int(plan.agg(F.sum("short")).first()[0] or 0)
+    takers = plan.select("source_key", "found", "short", "short_before")
+    over = _met(over, "nth_over", takers, "short_before", "short", moved).select(
+        "shard", "slot", "source_key", (F.col("found") + F.col("nth_over") - F.col("short_before")).alias("number")
+    )
+    rows = kept.unionByName(over).join(plan.select("source_key", "blocks", "passes", "rest"), "source_key")
+    turn, index, last = F.floor(F.col("number") / F.col("blocks")), F.col("number") % F.col("blocks"), F.col("blocks") - 1
+    block = permuted(index, F.greatest(last, F.lit(1)), F.lit(seed), F.col("source_key"), turn)
+    left = F.col("rest") - index * BLOCK
+    return rows.select(
+        "shard", "slot", "source_key", turn.alias("turn"), F.when(index == last, last).otherwise(block).alias("block"),
+        F.when((turn == F.col("passes")) & (left < BLOCK), left).alias("cut"),
+    )
+
+
 def mix(docs: DataFrame, seed: int = 1) -> Mix:
     """Plan the mix of ``docs`` (doc_id, text, source).
 
@@ -129,34 +214,14 @@ def mix(docs: DataFrame, seed: int = 1) -> Mix:
     )
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     sources = targets(sizes).withColumn("blocks", F.ceil(F.col("source_size") / BLOCK))
-    wanted = F.round(F.col("blocks") * F.col("target") / F.col("source_size")).cast("long")
-    sources = sources.withColumn("slots", F.when(F.col("source_size") > 0, wanted).otherwise(0))
-    in_order = Window.orderBy(F.col("source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    sources = sources.withColumn("first", F.coalesce(F.sum("slots").over(in_order), F.lit(0)))
+    wanted = F.round("target").cast("long")
+    passes = F.when(F.col("source_size") > 0, F.floor(wanted / F.col("source_size"))).otherwise(0)
+    sources = sources.withColumns({"passes": passes, "rest": wanted - passes * F.col("source_size")})
+    sources = sources.withColumn("slots", F.col("passes") * F.col("blocks") + F.ceil(F.col("rest") / BLOCK))
+    sources = sources.withColumn("first", _sum_before("slots"))
     sources = sources.withColumn("source_key", F.xxhash64(F.coalesce(F.concat(F.lit("s"), "source"), F.lit(""))))
     sources = materialize(sources, "sources")
-
-    total = sources.agg(F.sum("slots")).first()[0] or 0
-    draws = spark.range(int(total)).select(
-        F.floor(F.col("id") / SHARD_SLOTS).alias("shard"),
-        (F.col("id") % SHARD_SLOTS).alias("slot"),
-        permuted(F.col("id"), F.lit(max(int(total), 1)), F.lit(seed), F.lit("slot")).alias("draw"),
-    )
-    # A draw falls into one source's range; ranges and draws meet by cells of the draws' range.
-    cell = max(1, int(total) // 4096)
-    ranges = sources.where("slots > 0").select("source_key", "blocks", "first", "slots").withColumn(
-        "cell",
-        F.explode(F.sequence(F.floor(F.col("first") / cell), F.floor((F.col("first") + F.col("slots") - 1) / cell))),
-    )
-    slots = (
-        draws.withColumn("cell", F.floor(F.col("draw") / cell))
-        .join(ranges, "cell")
-        .where("draw >= first AND draw < first + slots")
-        .select("shard", "slot", "source_key", "blocks", (F.col("draw") - F.col("first")).alias("nth"))
-    )
-    turn = F.floor(F.col("nth") / F.col("blocks"))
-    block = permuted(F.col("nth") % F.col("blocks"), F.col("blocks"), F.lit(seed), F.col("source_key"), turn)
-    slots = slots.select("shard", "slot", "source_key", turn.alias("turn"), block.alias("block"))
+    slots = _slots(_drawn(sources, seed), sources, seed)
 
     placed = _numbered(rows.where("size > 0"))
     first, last = F.floor(F.col("start") / BLOCK), F.floor((F.col("start") + F.col("size") - 1) / BLOCK)
@@ -172,9 +237,13 @@ def mix(docs: DataFrame, seed: int = 1) -> Mix:
 
 def taken(mixed: Mix) -> DataFrame:
     """Every row of the documents with ``size, source_size, target`` and ``taken``, its words in the mix."""
-    times = mixed.slots.groupBy("source_key", "block").agg(F.count("*").alias("times"))
+    # At most one slot of a source is cut.
+    times = mixed.slots.groupBy("source_key", "block").agg(
+        F.count_if(F.col("cut").isNull()).alias("times"), F.max("cut").alias("cut")
+    )
+    of_cut = F.greatest(F.least(F.col("words"), F.coalesce("cut", F.lit(0)) - F.col("at")), F.lit(0))
     got = mixed.pieces.join(times, ["source_key", "block"]).groupBy("row_no").agg(
-        F.sum(F.col("words") * F.col("times")).alias("taken")
+        F.sum(F.col("words") * F.col("times") + of_cut).alias("taken")
     )
     sources = mixed.sources.select("source_key", "source_size", "target")
     return (
@@ -234,17 +303,22 @@ def mixed_blocks(docs: DataFrame, mixed: Mix) -> DataFrame:
         ).alias("piece"),
     )
     blocks = cut.groupBy("source_key", "block").agg(F.sort_array(F.collect_list("piece")).alias("parts"))
+    end = F.coalesce("cut", F.lit(BLOCK))
+    all_words = F.array_join(F.transform("parts", lambda p: p["text"]), " ")
     return (
         mixed.slots.join(blocks, ["source_key", "block"])
         .join(mixed.sources.select("source_key", "source"), "source_key")
+        .withColumn("parts", F.filter("parts", lambda p: p["at"] < end))
         .select(
             "shard",
             "slot",
             "source",
             "block",
             "turn",
-            F.aggregate("parts", F.lit(0).cast("long"), lambda a, p: a + p["words"]).alias("n_words"),
+            F.aggregate("parts", F.lit(0).cast("long"), lambda a, p: a + F.least(p["words"], end - p["at"])).alias("n_words"),
             F.transform("parts", lambda p: p["doc_id"]).alias("doc_ids"),
-            F.array_join(F.transform("parts", lambda p: p["text"]), " ").alias("text"),
+            F.when(F.col("cut").isNull(), all_words)
+            .otherwise(F.array_join(F.slice(F.split(all_words, " "), F.lit(1), F.col("cut").cast("int")), " "))
+            .alias("text"),
         )
     )

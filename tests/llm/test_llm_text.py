@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import itertools
+import math
 import random
+from collections import Counter
 import sys
 from pathlib import Path
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).parent))
@@ -330,7 +333,7 @@ def test_mix_meets_its_targets(spark):
     got = mixing.taken(plan).toPandas()
     assert (got["taken"] <= 2 * got["size"]).all()
     by = got.groupby("source").agg(size=("size", "sum"), target=("target", "first"), taken=("taken", "sum"))
-    assert ((by.taken - by.target).abs() <= 2 * mixing.BLOCK).all()
+    assert ((by.taken - by.target).abs() <= 0.5).all()
     # Targets by filling round after round.
     weight = {s: (3.0, 1.0, 2.0)[i % 3] for i, s in enumerate(sorted(by.index))}
     open_, left, target = set(by.index), 1.5 * by["size"].sum(), {}
@@ -352,6 +355,89 @@ def test_mix_meets_its_targets(spark):
     assert again.sort_values("doc_id").taken.tolist() == got.sort_values("doc_id").taken.tolist()
 
 
+class PlainMix:
+    """The mix in plain Python, draw by draw, over the same hashes."""
+
+    SEED = 1
+
+    @staticmethod
+    def hashed(*values) -> int:
+        state = 42
+        for v in values:
+            data = v.encode() if isinstance(v, str) else v.to_bytes(8 if abs(v) >= 1 << 31 else 4, "little", signed=True)
+            state = xxhash.xxh64_intdigest(data, state)
+        return state - (1 << 64) if state >> 63 else state
+
+    @classmethod
+    def permuted(cls, x: int, size: int, *seed) -> int:
+        for r in range(1, mixing.ROUNDS + 1):
+            partner = (cls.hashed("key", r, *seed) % size - x) % size
+            if cls.hashed("swap", r, Long(max(x, partner)), *seed) % 2 == 1:
+                x = partner
+        return x
+
+    @classmethod
+    def taken(cls, sources: list[tuple[str, int, float]]) -> tuple[list[Counter], dict[str, list[int]]]:
+        """Drawn counts by shard, and of every source how often each of its words is taken."""
+        plan, wanted = [], {}
+        for source, size, target in sources:
+            blocks, words = -(-size // mixing.BLOCK), math.floor(target + 0.5)
+            passes, rest = divmod(words, size)
+            wanted[source] = (size, blocks, passes, rest, passes * blocks - (-rest // mixing.BLOCK))
+            plan += [source] * wanted[source][4]
+        drawn, shards = {s: 0 for s in wanted}, [Counter() for _ in range(-(-len(plan) // mixing.SHARD_SLOTS))]
+        for i in range(len(plan)):
+            source = plan[cls.hashed("draw", cls.SEED, Long(i)) % len(plan)]
+            shards[i // mixing.SHARD_SLOTS][source] += 1
+            drawn[source] += 1
+        # Permuted numbers past the slots go to the others' missing numbers: each source has every number once.
+        times = {}
+        for source, (size, blocks, passes, rest, slots) in wanted.items():
+            times[source] = [0] * size
+            for number in range(slots):
+                turn, index = divmod(number, blocks)
+                key = cls.hashed("s" + source)
+                block = index if index == blocks - 1 else cls.permuted(index, max(blocks - 1, 1), cls.SEED, Long(key), Long(turn))
+                end = (block + 1) * mixing.BLOCK
+                if turn == passes:
+                    end = min(end, block * mixing.BLOCK + rest - index * mixing.BLOCK)
+                for w in range(block * mixing.BLOCK, min(end, size)):
+                    times[source][w] += 1
+        return shards, times
+
+
+class Long(int):
+    """An integer that is hashed as eight bytes."""
+
+    def to_bytes(self, length=8, byteorder="little", *, signed=True):
+        return int(self).to_bytes(8, byteorder, signed=signed)
+
+
+def test_mix_is_that_of_a_plain_draw(spark):
+    r = random.Random(8)
+    rows = [(i, " ".join(["w"] * r.choice([0, 1, 40, 300, 2000])), r.choice("aabc")) for i in range(400)]
+    rows += [(1000, " ".join(["w"] * 20), "d"), (1001, "w " * 130, "e")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    plan = mixing.mix(docs)
+    sources = [(x.source, x.source_size, x.target) for x in plan.sources.orderBy("source").collect()]
+    shards, times = PlainMix.taken(sources)
+    # Words of a document by the place where the plan laid it.
+    places = {(p.doc_id, p.from_word): (p.source_key, p.block * mixing.BLOCK + p.at, p.words) for p in plan.pieces.collect()}
+    key_of = {x.source_key: x.source for x in plan.sources.collect()}
+    expected = Counter()
+    for (doc, _), (key, begin, n) in places.items():
+        expected[doc] += sum(times[key_of[key]][begin : begin + n])
+    got = {x.doc_id: x.taken for x in mixing.taken(plan).collect()}
+    assert got == {i: expected[i] for i in got}
+    drawn = mixing._drawn(plan.sources, 1).groupBy("shard", "source_key").count().collect()
+    assert {(x.shard, key_of[x.source_key]): x["count"] for x in drawn} == {
+        (i, s): n for i, c in enumerate(shards) for s, n in c.items()
+    }
+    # Every slot of every shard is filled once.
+    filled = plan.slots.select("shard", "slot").distinct().count()
+    assert filled == plan.slots.count() == sum(sum(c.values()) for c in shards)
+
+
 def test_mix_of_odd_rows(spark):
     got = mixing.taken(mixing.mix(fx.odd(spark))).collect()
     assert len(got) == len(fx.odd_documents())
