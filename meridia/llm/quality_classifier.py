@@ -137,7 +137,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Model
     """Learn from texts of ``docs`` (doc_id, text) that ``labels`` (doc_id, quality) marks, outside the held-out fold.
 
     The sample is bounded: ``per_label`` whole texts of each label. An id marked both ways is not used, a null
-    label or id neither; a null text is an empty one.
+    label or id neither; a null text is an empty one. Of rows that share an id one is learned from, that with the
+    smallest hash.
     """
     marks = (
         labels.select("doc_id", F.col("quality").cast("int").alias("label"))
@@ -153,7 +154,10 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Model
     chosen = materialize(sample_per_class(marks, "label", "doc_id", per_label), "chosen")
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     # The sample is bounded by its parameter, so its ids may be sent to every scan.
-    rows = docs.select("doc_id", text).join(F.broadcast(chosen), "doc_id").orderBy("label", "doc_id", "text").collect()
+    # Of rows that share an id, one counts: a hot id must not bring a third of all texts to the driver.
+    rows = docs.select("doc_id", text).join(F.broadcast(chosen), "doc_id")
+    rows = rows.groupBy("doc_id", "label").agg(F.min_by("text", F.struct(F.xxhash64("text"), F.length("text"))).alias("text"))
+    rows = rows.orderBy("label", "doc_id").collect()
     return train([r.text for r in rows], [r.label for r in rows])
 
 

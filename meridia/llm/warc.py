@@ -27,6 +27,8 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 REVISIT_BYTES = 1000
 LEVEL = 3
 READ_BYTES = 1 << 18
+# Archives are read in a task each, up to this many tasks.
+READ_TASKS = 20000
 _DATE = "1970-01-01T00:00:00Z"
 
 
@@ -219,7 +221,8 @@ def read_archives(archives: DataFrame, folder: str) -> DataFrame:
     Columns ``page_id, url, payload_bytes, payload_digest, record_type, refers_to, payload``; a revisit's
     payload is empty, its digest and size are those of the payload it stands for.
     """
-    spread = archives.select("name", "records").repartition("name")
+    # A list of names is a few bytes, which adaptive execution would merge into one task without a number.
+    spread = archives.select("name", "records").repartition(min(max(archives.count(), 1), READ_TASKS))
     return spread.mapInArrow(
         _read_batches(folder),
         "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long,"
