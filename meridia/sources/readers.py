@@ -8,6 +8,9 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from meridia.session import materialize
 
 # Documented headers of the raw hourly files; beside them our names and types.
 HOURLY_COLUMNS = {
@@ -57,6 +60,62 @@ def read_csv(
     return require_columns(found.select(*chosen, file_name), required)
 
 
+def read_csv_apart(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    columns: Mapping[str, tuple[str, str]],
+    ranges: Mapping[str, tuple[float | None, float | None]] | None = None,
+    needed: Sequence[str] = (),
+) -> tuple[DataFrame, DataFrame]:
+    """Header CSV in two tables: the rows that meet the contract, and the others as they stand with their reasons.
+
+    ``columns`` is that of ``read_csv``; ``ranges`` gives closed bounds by our names and ``needed`` lists names
+    that may not be null. Rejected rows have ``source_file``, ``reasons`` (sorted ``name:kind``, kind one of type, range
+    and null; ``fields`` where a line has too many or too few of them) and ``line``, the raw fields as CSV. A null, or an
+    empty field, fits every type and range. Files are read once; every line is in exactly one of the two tables.
+    """
+    paths = path if isinstance(path, str) else list(path)
+    reader = spark.read.option("header", True).option("enforceSchema", False)
+    found = _checked(lambda: reader.csv(paths), path, ()).columns
+    by_name = {h if h in found or name not in found else name: (name, kind) for h, (name, kind) in columns.items()}
+    missing = [h for h in by_name if h not in found]
+    if missing:
+        raise ValueError(f"required columns not found: {missing}")
+    texts = T.StructType([T.StructField(h, T.StringType()) for h in [*found, "__torn"]])
+    raw = reader.schema(texts).option("columnNameOfCorruptRecord", "__torn").csv(paths)
+
+    torn = F.col("__torn").isNotNull()
+    reasons = [F.when(torn, F.lit("fields"))]
+    made = []
+    for h, (name, kind) in by_name.items():
+        text = F.col(f"`{h}`")
+        value = text.try_cast(kind)
+        low, high = (ranges or {}).get(name, (None, None))
+        outside = F.lit(False)
+        if low is not None:
+            outside = outside | (value < F.lit(low))
+        if high is not None:
+            outside = outside | (value > F.lit(high))
+        problem = F.when(text.isNotNull() & value.isNull(), "type").when(outside, "range")
+        if name in needed:
+            problem = problem.when(text.isNull(), "null")
+        reasons.append(F.when(~torn, F.concat(F.lit(f"{name}:"), problem)))
+        made.append(value.alias(name))
+    line = F.coalesce("__torn", F.to_csv(F.struct(*(F.col(f"`{h}`") for h in found))))
+    reasons = F.sort_array(F.array_compact(F.array(*reasons)))
+    rows = raw.select(*made, F.col("_metadata.file_name").alias("source_file"), reasons.alias("__reasons"), line.alias("__line"))
+    rows = rows.withColumn("__line", F.when(F.size("__reasons") > 0, F.col("__line")))
+    rows = materialize(rows, "contract")
+    good = rows.where(F.size("__reasons") == 0).drop("__reasons", "__line")
+    rejected = rows.where(F.size("__reasons") > 0)
+    return good, rejected.select("source_file", F.col("__reasons").alias("reasons"), F.col("__line").alias("line"))
+
+
+def read_hourly_apart(spark: SparkSession, paths: str | Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """``read_hourly`` with the rows that don't fit their types apart; a row without its time or zone is one of them."""
+    return read_csv_apart(spark, paths, HOURLY_COLUMNS, needed=["datetime_utc", "zone_id"])
+
+
 def read_parquet(spark: SparkSession, path: str, required: Sequence[str] = ()) -> DataFrame:
     return _checked(lambda: spark.read.parquet(path), path, required)
 

@@ -183,3 +183,29 @@ def test_sinks_read_back(spark, tmp_path):
     assert [r["value"] for r in spark.read.text(f"{tmp_path}/report").collect()] == ["first", "second"]
     writers.write_table(df.select("id", "split"), f"{tmp_path}/table")
     assert spark.read.option("header", True).csv(f"{tmp_path}/table").count() == 2
+
+
+def test_rows_that_break_the_contract_stand_apart(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Id,Share,Day\n1,0.5,2024-01-02\nx,2,never\n3,,\n4,7,2024-01-03\n5\n6,1,2024-01-04,more\n")
+    (tmp_path / "b.csv").write_text("Id,Share,Day\n,1,2024-01-05\n8,0,2024-01-06\n")
+    columns = {"Day": ("day", "date"), "Id": ("id", "long"), "Share": ("share", "double")}
+    paths = [str(tmp_path / n) for n in ("a.csv", "b.csv")]
+    good, rejected = readers.read_csv_apart(spark, paths, columns, {"share": (0.0, 1.0)}, ["id"])
+    assert good.columns == ["day", "id", "share", "source_file"]
+    assert sorted((r.id, r.share, str(r.day)) for r in good.collect()) == [(1, 0.5, "2024-01-02"), (3, None, "None"), (8, 0.0, "2024-01-06")]
+    got = {(r.source_file, r.line): r.reasons for r in rejected.collect()}
+    assert got == {
+        ("a.csv", "x,2,never"): ["day:type", "id:type", "share:range"],
+        ("a.csv", "4,7,2024-01-03"): ["share:range"],
+        ("a.csv", "5"): ["fields"],
+        ("a.csv", "6,1,2024-01-04,more"): ["fields"],
+        ("b.csv", ",1,2024-01-05"): ["id:null"],
+    }
+    with pytest.raises(ValueError):
+        readers.read_csv_apart(spark, paths, {"absent": ("x", "int")})
+
+
+def test_empty_files_give_two_empty_tables(spark, tmp_path):
+    (tmp_path / "none.csv").write_text("Id\n")
+    good, rejected = readers.read_csv_apart(spark, str(tmp_path / "none.csv"), {"Id": ("id", "long")})
+    assert good.count() == rejected.count() == 0

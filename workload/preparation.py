@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from meridia.functions import naming
 from meridia.operators import encode, outliers, prep
+from meridia.session import shared_folder
 from meridia.sources import readers
 
 from . import views
@@ -376,3 +379,35 @@ def label_encode(spark, sf_dir):
 def ovr_binarize(spark, sf_dir):
     orders = views.table(spark, sf_dir, "orders").withColumnRenamed("o_orderkey", "row_id")
     return encode.ovr_binarize(orders, "o_orderstatus", views.CLASSES, ["row_id"])
+
+
+@query(
+    "rejected_rows",
+    """
+    SELECT 'rejected' AS part, event_id,
+           concat_ws('|', CASE WHEN event_type IS NULL THEN 'event_type:null' END, CASE WHEN k > 63 THEN 'k:range' END,
+                     CASE WHEN value > 60 OR value < 1 THEN 'value:range' END) AS reasons,
+           CAST(NULL AS DOUBLE) AS value
+    FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)
+    WHERE k > 63 OR event_type IS NULL OR value > 60 OR value < 1
+    UNION ALL
+    SELECT 'good', event_id, '', value
+    FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)
+    WHERE NOT (coalesce(k > 63, false) OR event_type IS NULL OR coalesce(value > 60 OR value < 1, false))
+    """,
+)
+def rejected_rows(spark, sf_dir):
+    """All events written as CSV and read back under a contract that some of them break."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    folder = f"{shared_folder(spark).rstrip('/')}/events-csv-{uuid.uuid4().hex}"
+    k = F.get_json_object("props", "$.k").alias("k")
+    events.select("event_id", "event_type", "value", k).write.option("header", True).csv(folder)
+    columns = {"event_id": "bigint", "event_type": "string", "value": "double", "k": "int"}
+    good, rejected = readers.read_csv_apart(
+        spark, folder, {c: (c, kind) for c, kind in columns.items()}, {"value": (1.0, 60.0), "k": (None, 63)}, ["event_type"]
+    )
+    event = F.split("line", ",")[0].cast("long").alias("event_id")
+    no_value = F.lit(None).cast("double").alias("value")
+    return rejected.select(F.lit("rejected").alias("part"), event, F.array_join("reasons", "|").alias("reasons"), no_value).unionByName(
+        good.select(F.lit("good").alias("part"), "event_id", F.lit("").alias("reasons"), "value")
+    )
