@@ -1,20 +1,14 @@
-"""Feature importance, selection and Shapley values of tree ensembles."""
+"""Feature importance and selection by tree ensembles."""
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from math import factorial
 from typing import Any
 
-import numpy as np
-import pandas as pd
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_folder
 from . import models, tables
 from .encode import keep_features
 
@@ -64,175 +58,3 @@ def select_features(
     table = tables.importance_filter(feature_importance(forest, names), factor)
     chosen = {r["feature"] for r in table.where("kept = 1").select("feature").collect()}
     return Selection(list(names), [n for n in names if n in chosen], table)
-
-
-# --- Shapley values ----------------------------------------------------------------------------
-
-
-@dataclass(frozen=True)
-class Leaf:
-    """One root-to-leaf path with its conditions merged per feature.
-
-    ``low < x <= high`` says whether a row passes the feature's conditions; ``share`` is the part of
-    the training rows that does, as counted by the nodes.
-    """
-
-    features: np.ndarray
-    low: np.ndarray
-    high: np.ndarray
-    share: np.ndarray
-    value: np.ndarray
-
-
-def tree_nodes(fitted: models.Fitted) -> pd.DataFrame:
-    """All nodes of the ensemble, from Spark's own saved form in the shared folder."""
-    core = fitted.core
-    spark = _session()
-    parts = [core] if fitted.name == models.FOREST else list(core.models)
-    frames = []
-    for i, part in enumerate(parts):
-        path = f"{shared_folder(spark).rstrip('/')}/trees-{uuid.uuid4().hex}"
-        part.write().save(path)
-        rows = spark.read.parquet(f"{path}/data").select(
-            F.lit(i).alias("output"),
-            F.col("treeID").alias("tree"),
-            F.col("nodeData.id").alias("node"),
-            F.col("nodeData.prediction").alias("prediction"),
-            F.col("nodeData.impurityStats").alias("stats"),
-            F.col("nodeData.rawCount").alias("cover"),
-            F.col("nodeData.leftChild").alias("left"),
-            F.col("nodeData.rightChild").alias("right"),
-            F.col("nodeData.split.featureIndex").alias("feature"),
-            F.col("nodeData.split.leftCategoriesOrThreshold").alias("cut"),
-            F.col("nodeData.split.numCategories").alias("categories"),
-        )
-        frame = rows.toPandas()
-        weights = part.treeWeights
-        frame["weight"] = frame["tree"].map(lambda t, w=weights: w[t])
-        frames.append(frame)
-    return pd.concat(frames, ignore_index=True)
-
-
-def ensemble_leaves(fitted: models.Fitted) -> tuple[list[Leaf], int]:
-    """Leaves with their contribution to every output: class probability (forest) or margin (booster)."""
-    nodes = tree_nodes(fitted)
-    if (nodes["categories"] > 2).any():
-        raise ValueError("splits over more than two categories are not explained; one-hot such features")
-    outputs = len(fitted.classes)
-    trees_per_output = nodes.groupby("output")["tree"].nunique().to_dict()
-    leaves = []
-    for (output, _), tree in nodes.groupby(["output", "tree"]):
-        by_id = {n.node: n for n in tree.itertuples()}
-        stack = [(by_id[0], {})]
-        while stack:
-            node, seen = stack.pop()
-            if node.left < 0:
-                value = np.zeros(outputs)
-                if fitted.name == models.FOREST:
-                    stats = np.asarray(node.stats, dtype=float)
-                    value[: len(stats)] = stats / stats.sum() / trees_per_output[output]
-                else:
-                    value[output] = node.prediction * node.weight
-                keys = sorted(seen)
-                columns = np.array([seen[f] for f in keys], dtype=float).reshape(-1, 3)
-                leaves.append(Leaf(np.array(keys, dtype=int), columns[:, 0], columns[:, 1], columns[:, 2], value))
-                continue
-            cover = float(node.cover)
-            for child, (above, upto) in zip((by_id[node.left], by_id[node.right]), _sides(node)):
-                low, high, share = seen.get(node.feature, (-np.inf, np.inf, 1.0))
-                bounds = (max(low, above), min(high, upto))
-                stack.append((child, {**seen, node.feature: (*bounds, share * float(child.cover) / cover)}))
-    return leaves, outputs
-
-
-def _sides(node) -> tuple[tuple[float, float], tuple[float, float]]:
-    """Value intervals (above, up to] of the left and the right child. One-hot slots split by 0 or 1."""
-    if node.categories < 0:
-        at = float(node.cut[0])
-        return (-np.inf, at), (at, np.inf)
-    zero_side, one_side = (-np.inf, 0.5), (0.5, np.inf)
-    return (zero_side, one_side) if 0.0 in list(node.cut) else (one_side, zero_side)
-
-
-def leaf_values(passes: np.ndarray, share: np.ndarray) -> np.ndarray:
-    """Shapley value of each feature of one leaf of value 1, for each row of pass/fail flags.
-
-    A coalition without a feature follows both branches by their shares, so its worth is the product
-    of flags inside and shares outside; sums over coalitions of one size are the coefficients of a
-    product of linear terms.
-    """
-    rows, d = passes.shape
-    weight = np.array([factorial(s) * factorial(d - 1 - s) / factorial(d) for s in range(d)])
-    out = np.zeros((rows, d))
-    for f in range(d):
-        sums = np.ones((rows, 1))
-        for j in range(d):
-            if j != f:
-                without = np.pad(sums * share[j], ((0, 0), (0, 1)))
-                within = np.pad(sums * passes[:, j : j + 1], ((0, 0), (1, 0)))
-                sums = without + within
-        out[:, f] = (passes[:, f] - share[f]) * (sums @ weight)
-    return out
-
-
-def shapley_matrix(x: np.ndarray, leaves: Sequence[Leaf], outputs: int) -> np.ndarray:
-    """(rows, features, outputs). Rows that pass the same conditions of a leaf are worked out once."""
-    total = np.zeros((*x.shape, outputs))
-    for leaf in leaves:
-        if not len(leaf.features):
-            continue
-        values = x[:, leaf.features]
-        passes = (values > leaf.low) & (values <= leaf.high)
-        patterns, which = np.unique(passes, axis=0, return_inverse=True)
-        phi = leaf_values(patterns.astype(float), leaf.share)[which.reshape(-1)]
-        total[:, leaf.features, :] += phi[:, :, None] * leaf.value[None, None, :]
-    return total
-
-
-def tree_shap(fitted: models.Fitted, df: DataFrame, names: Sequence[str], key: str) -> DataFrame:
-    """Path-dependent Shapley values: one row per (row, class, feature) with ``base``, the mean output.
-
-    ``base`` plus the row's values is the model's output for the class. The trees are broadcast;
-    their size is set by the ensemble's parameters, not by the data.
-    """
-    if fitted.name not in (models.FOREST, models.BOOSTING):
-        raise ValueError(f"{fitted.name} is no tree ensemble")
-    leaves, outputs = ensemble_leaves(fitted)
-    base = sum((leaf.value * np.prod(leaf.share) for leaf in leaves), np.zeros(outputs))
-    shared = df.sparkSession.sparkContext.broadcast(leaves)
-    classes, listed = list(fitted.classes), list(names)
-    kind = df.schema[key].dataType.simpleString()
-
-    def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if not len(batch):
-                continue
-            x = np.stack(batch["x"].to_numpy())
-            values = shapley_matrix(x, shared.value, outputs)
-            n, p = x.shape
-            yield pd.DataFrame(
-                {
-                    key: np.repeat(batch[key].to_numpy(), p * outputs),
-                    "feature": np.tile(np.repeat(listed, outputs), n),
-                    "class": np.tile(classes, n * p),
-                    "shap": values.reshape(-1),
-                    "feature_value": np.repeat(x.reshape(-1), outputs),
-                    "base": np.tile(base, n * p),
-                }
-            )
-
-    rows = df.select(key, vector_to_array("features").alias("x"))
-    return rows.mapInPandas(
-        explain, f"`{key}` {kind}, feature string, class string, shap double, feature_value double, base double"
-    )
-
-
-def shap_importance(values: DataFrame, k: int = 15) -> DataFrame:
-    """Mean absolute Shapley value per feature over rows and classes, the highest k."""
-    mean = values.groupBy("feature").agg(F.avg(F.abs("shap")).alias("mean_abs_shap"))
-    return tables.topk(mean, "mean_abs_shap", k, "feature")
-
-
-def shap_points(values: DataFrame, key: str, first_class: str) -> DataFrame:
-    """(row, feature, Shapley value, feature value) of one class."""
-    return values.where(F.col("class") == first_class).select(key, "feature", "shap", "feature_value")

@@ -12,7 +12,21 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..functions.naming import clean_feature_name, clean_feature_text
-from ..operators import balance, cluster, curves, encode, explain, metrics, models, prep, search, split, stats, tables
+from ..operators import (
+    balance,
+    cluster,
+    curves,
+    encode,
+    explain,
+    metrics,
+    models,
+    prep,
+    search,
+    shapley,
+    split,
+    stats,
+    tables,
+)
 from ..session import materialize
 from ..sources import writers
 from . import reports
@@ -308,9 +322,9 @@ def random_study(
     if diagnostics:
         if best in (models.FOREST, models.BOOSTING):
             shown = [clean_feature_text(n) for n in cut.names]
-            values = explain.tree_shap(made.fitted[best], cut.test, shown, key)
-            made.tables["shap_importance"] = explain.shap_importance(values)
-            made.tables["shap_points"] = explain.shap_points(values, key, classes[0])
+            values = shapley.tree_shap(made.fitted[best], cut.test, shown, key)
+            made.tables["shap_importance"] = shapley.shap_importance(values)
+            made.tables["shap_points"] = shapley.shap_points(values, key, classes[0])
         earlier = earlier_booster or EARLIER_BOOSTER
         made.tables["mcnemar"] = retrain_compare(
             cut.train, cut.test, (models.BOOSTING, earlier), made.fitted[best], key, seed

@@ -8,7 +8,7 @@ import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from meridia.operators import curves, encode, explain, models, search, split
+from meridia.operators import curves, encode, explain, models, search, shapley, split
 
 
 @pytest.fixture(scope="module")
@@ -111,15 +111,23 @@ def test_preprocessor_scales_by_population_spread_and_ignores_new_levels(spark):
     assert x.std() == pytest.approx(1.0)
 
 
+def _paths(leaves):
+    """(conditions, value) of every leaf."""
+    ends = np.cumsum(leaves.sizes)
+    conditions = list(zip(leaves.feature, leaves.low, leaves.high, leaves.share))
+    return [(conditions[e - s : e], v) for e, s, v in zip(ends, leaves.sizes, leaves.value)]
+
+
 @pytest.mark.parametrize("name, params", [(models.FOREST, {"n_estimators": 3, "max_depth": 3}), (models.BOOSTING, {"n_estimators": 2, "max_depth": 2})])
 def test_tree_shap_against_brute_force(rows, name, params):
     made = models.fit(rows, name, params)
     few = rows.limit(6)
     got = {}
-    values = explain.tree_shap(made, few, ["f0", "f1", "f2", "f3"], "row_id").collect()
+    values = shapley.tree_shap(made, few, ["f0", "f1", "f2", "f3"], "row_id").collect()
     for r in values:
         got[r["row_id"], r["class"], int(r["feature"][1])] = (r["shap"], r["base"])
-    leaves, outputs = explain.ensemble_leaves(made)
+    outputs = len(made.classes)
+    leaves = _paths(shapley.Leaves.read(shapley.ensemble_leaves(made).toArrow(), outputs))
     for row in few.collect():
         x = np.array(row["x"])
 
@@ -127,9 +135,9 @@ def test_tree_shap_against_brute_force(rows, name, params):
             total = np.zeros(outputs)
             for leaf in leaves:
                 part = 1.0
-                for f, low, high, share in zip(leaf.features, leaf.low, leaf.high, leaf.share):
+                for f, low, high, share in leaf[0]:
                     part *= float(low < x[f] <= high) if f in inside else share
-                total = total + part * leaf.value
+                total = total + part * leaf[1]
             return total
 
         for f in range(4):

@@ -5,10 +5,11 @@ from __future__ import annotations
 
 import json
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meridia.operators import curves, encode, explain, metrics, models, prep, search
+from meridia.operators import curves, encode, explain, metrics, models, prep, search, shapley
 from meridia.plans import study
 
 from . import views
@@ -314,25 +315,33 @@ def feature_selection(spark, sf_dir):
 def _shap(spark, sf_dir):
     data = _dataset(spark, sf_dir)
     made = models.fit(data.train, models.BOOSTING)
-    return made, explain.tree_shap(made, data.test, data.names, "row_id")
+    return made, data, shapley.tree_shap(made, data.test, data.names, "row_id")
 
 
 @query(
     "tree_shap",
-    f"""WITH {_TEST_SQL} SELECT class, (SELECT count(*) FROM test) AS row_count, true AS all_features, true AS one_base
+    f"""WITH {_TEST_SQL} SELECT class, (SELECT count(*) FROM test) AS row_count, 0::BIGINT AS rows_off,
+           true AS all_features
     FROM (SELECT DISTINCT target_quantile_class AS class FROM labeled)""",
 )
 def tree_shap(spark, sf_dir):
-    return _shap(spark, sf_dir)[1].groupBy("class").agg(
-        F.count_distinct("row_id").alias("row_count"),
-        (F.count("*") == F.count_distinct("row_id") * F.count_distinct("feature")).alias("all_features"),
-        (F.min("base") == F.max("base")).alias("one_base"),
+    """Rows whose base and values do not add up to the margin that the booster itself gives the class."""
+    made, data, values = _shap(spark, sf_dir)
+    added = values.groupBy("row_id", "class").agg(
+        (F.sum("shap") + F.first("base")).alias("added"), F.count_distinct("feature").alias("features")
+    )
+    raw = made.model.transform(data.test).select("row_id", F.posexplode(vector_to_array("rawPrediction")))
+    margins = raw.select("row_id", F.get(F.lit(made.classes), "pos").alias("class"), F.col("col").alias("margin"))
+    return margins.join(added, ["row_id", "class"], "left").groupBy("class").agg(
+        F.count("*").alias("row_count"),
+        F.count_if(~F.coalesce(F.abs(F.col("added") - F.col("margin")) < 1e-9, F.lit(False))).alias("rows_off"),
+        F.coalesce(F.min("features") == len(data.names), F.lit(False)).alias("all_features"),
     )
 
 
 @query("shap_importance", "SELECT true AS at_most_fifteen, true AS falling, true AS none_negative")
 def shap_importance(spark, sf_dir):
-    made = explain.shap_importance(_shap(spark, sf_dir)[1])
+    made = shapley.shap_importance(_shap(spark, sf_dir)[2])
     return made.agg(
         (F.count("*") <= 15).alias("at_most_fifteen"),
         (F.max("mean_abs_shap") > F.min("mean_abs_shap")).alias("falling"),
@@ -342,8 +351,8 @@ def shap_importance(spark, sf_dir):
 
 @query("shap_points", f"WITH {_TEST_SQL} SELECT row_id, true AS each_feature_once FROM test")
 def shap_points(spark, sf_dir):
-    made, values = _shap(spark, sf_dir)
-    points = explain.shap_points(values, "row_id", made.classes[0])
+    made, _, values = _shap(spark, sf_dir)
+    points = shapley.shap_points(values, "row_id", made.classes[0])
     return points.groupBy("row_id").agg(
         (F.count("*") == F.count_distinct("feature")).alias("each_feature_once")
     )
