@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from meridia.functions.blocks import dense_blocks
-from meridia.operators import balance, cluster, encode, lloyd, neighbors, prep, split
+from meridia.operators import balance, cluster, encode, lloyd, neighbors, prep, split, wide_pca
 
 from . import views
 from .judging import _SPLIT_SQL
@@ -300,6 +300,30 @@ def pca_project(spark, sf_dir):
     return projected.select("row_id", "label").crossJoin(F.broadcast(facts))
 
 
+@query(
+    "pca_wide",
+    f"""WITH {views.VECTORS_SQL}, d AS (SELECT unnest(range(1, {views.DIMENSIONS + 1})) AS i),
+    slots AS (SELECT i, var_samp(x[i]) AS v FROM vectors, d GROUP BY i)
+    SELECT c.component, (SELECT count(*) FROM vectors) AS row_count,
+           (SELECT {fixed_sql("sum(v)", 6)} FROM slots) AS total_variance, true AS share_is_spread, true AS share_is_exact
+    FROM (SELECT unnest([1, 2, 3]) AS component) c""",
+)
+def pca_wide(spark, sf_dir):
+    """Shares of three components against the projections' own spread and against the exact decomposition."""
+    vectors = views.vectors(spark, sf_dir)
+    made = wide_pca.fit(vectors, 3, "x")
+    exact = cluster.pca_project(cluster.as_vectors(vectors, "x"), 3)[1]
+    long = made.apply(vectors, "x").select(F.posexplode(F.array("pc1", "pc2", "pc3")).alias("at", "pc"))
+    known = F.get(F.lit(made.shares), "at")
+    return long.groupBy("at").agg(F.count("pc").alias("row_count"), F.var_samp("pc").alias("spread")).select(
+        (F.col("at") + 1).alias("component"),
+        "row_count",
+        fixed(F.lit(made.variance), 6).alias("total_variance"),
+        (F.abs(F.col("spread") / made.variance - known) < 1e-8).alias("share_is_spread"),
+        (F.abs(known - F.get(F.lit(exact), "at")) < 1e-6).alias("share_is_exact"),
+    )
+
+
 @query(
     "kmeans",
     "SELECT vec_id AS row_id, label, true AS nearest_center, true AS inertia_adds_up FROM embeddings",
