@@ -61,6 +61,61 @@ def test_fewer_points_than_neighbours(spark):
     assert _got(neighbors.knn_join(_table(spark, x), "id", "x", 5)) == {0: [1, 2], 1: [0, 2], 2: [1, 0]}
 
 
+def test_text_groups_with_meetings_that_one_side_misses(spark):
+    rng = np.random.default_rng(21)
+    x = np.round(rng.normal(size=(240, 2)), 2)
+    labels = ["many" if i % 4 else "few" for i in range(240)]
+    got = _got(neighbors.knn_join(_table(spark, x, labels), "id", "x", 3, group="label", block_rows=3, pivots=30))
+    assert got == _brute(x, 3, labels)
+
+
+def test_wide_vectors_far_from_zero_with_copies(spark):
+    rng = np.random.default_rng(22)
+    x = np.round(rng.normal(size=(200, 16)), 1) + 1e6
+    x[::10] = x[0]
+    x[1::20] = x[0] + 0.5
+    asked = np.flatnonzero(np.arange(200) % 3 == 0)
+    df = _table(spark, x)
+    got = _got(neighbors.knn_join(df, "id", "x", 4, block_rows=20, pivots=12))
+    assert got == _brute(x, 4)
+    some = df.where("id % 3 = 0")
+    got = _got(neighbors.knn_join(df, "id", "x", 4, queries=some, block_rows=20, pivots=12))
+    assert got == {i: n for i, n in _brute(x, 4).items() if i in asked}
+
+
+def test_cells_meet_in_bundles(spark):
+    pivots = np.random.default_rng(23).normal(size=(40, 16))
+    sizes = {"a": {c: 100 for c in range(40)}, "b": {0: 2500, 1: 10}}
+    plan = {
+        (g, q): (1, [(c, -1.0 - q, 1) for c in cells]) for g, cells in sizes.items() for q in cells
+    }
+    queries, points, meetings = neighbors._meeting_tables(plan, sizes, sizes, pivots, 1000)
+    assert meetings <= 5 * 5 + 4 * 4
+    homes = {(g, c): h for g, c, h, _ in points}
+    assert len(homes["b", 0]) == 3 and all(len(h) == 1 for at, h in homes.items() if at != ("b", 0))
+    for g, bundles in (("a", 5), ("b", 4)):
+        assert len({b for (of, _), h in homes.items() if of == g for b in h}) <= bundles
+        # every pair of cells has a meeting, from the least radius that a cell of the bundle asks for
+        theirs = {q: h for of, q, h, _ in queries if of == g}
+        for of, c, _, goes in points:
+            if of == g:
+                assert dict(goes) == {b: min(-1.0 - q for q, h in theirs.items() if b in h) for h in theirs.values() for b in h}
+        for of, q, _, goes in queries:
+            if of == g:
+                assert set(goes) == {b for c in sizes[g] for b in homes[g, c]}
+
+
+def test_groups_share_the_pivots_by_the_largest_of_them(spark, monkeypatch):
+    rng = np.random.default_rng(24)
+    labels = [str(i % 5) for i in range(200)]
+    seen = []
+    place = neighbors._nearest_pivot
+    monkeypatch.setattr(neighbors, "_nearest_pivot", lambda df, pivots: seen.append(len(pivots)) or place(df, pivots))
+    x = rng.normal(size=(200, 3))
+    got = _got(neighbors.knn_join(_table(spark, x, labels), "id", "x", 3, group="label", block_rows=20))
+    assert got == _brute(x, 3, labels) and seen == [2]
+
+
 def test_smote_fills_every_class_on_segments(spark):
     rng = np.random.default_rng(7)
     labels = ["a"] * 40 + ["b"] * 13 + ["c"] * 8
