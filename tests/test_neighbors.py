@@ -180,6 +180,28 @@ def test_silhouettes_against_brute_force_with_copies_and_a_lone_row(spark):
     assert cluster.silhouette_squared(codes) == pytest.approx(np.mean(expected(d**2)))
 
 
+def test_silhouette_of_wide_rows_far_from_zero_in_blocks_that_one_side_misses(spark):
+    rng = np.random.default_rng(25)
+    x = rng.normal(size=(60, 12)) * np.repeat([1e-3, 1.0], 30)[:, None] + np.repeat([1e4, 1e4 + 3], 30)[:, None]
+    x[5] = x[4]
+    labels = np.array(["a", "b"]).repeat(30)
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    for rows in (1, 8, 100):
+        made = cluster.silhouette_euclidean(_table(spark, x, labels), "id", "x", "label", block_rows=rows).collect()
+        assert len(made) == 60
+        for r in made:
+            same = labels == labels[r["id"]]
+            assert r["a"] == pytest.approx(d[r["id"]][same].sum() / 29, rel=1e-9)
+            assert r["b"] == pytest.approx(d[r["id"]][~same].mean(), rel=1e-9)
+
+
+def test_distances_that_cancel_are_taken_from_differences():
+    rng = np.random.default_rng(26)
+    a = rng.normal(size=(50, 20))
+    b = np.concatenate([a[:3] + 1e-9, rng.normal(size=(70, 20))])
+    assert cluster._distances(a, b) == pytest.approx(np.sqrt(((a[:, None] - b[None]) ** 2).sum(axis=2)), rel=1e-9)
+
+
 def test_ward_on_few_rows_and_on_micro_clusters(spark):
     rng = np.random.default_rng(10)
     x = np.concatenate([rng.normal(c, 0.2, (30, 2)) for c in (0, 5, 10)])
