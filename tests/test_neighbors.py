@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from meridia.functions import blocks
 from meridia.operators import balance, cluster, neighbors
 
 
@@ -202,6 +203,20 @@ def test_distances_that_cancel_are_taken_from_differences():
     assert cluster._distances(a, b) == pytest.approx(np.sqrt(((a[:, None] - b[None]) ** 2).sum(axis=2)), rel=1e-9)
 
 
+def test_a_pass_over_blocks_returns_its_numbers_once(spark, monkeypatch):
+    x = np.random.default_rng(27).normal(size=(90, 3))
+    got, received = {}, []
+    with blocks.dense_blocks(_table(spark, x), "x") as packed:
+        assert packed.blocks > 2
+        collect = type(packed.frame).collect
+        monkeypatch.setattr(type(packed.frame), "collect", lambda df: received.append(collect(df)) or received[-1])
+        for most in (1 << 18, 0):
+            monkeypatch.setattr(blocks, "DIRECT_BYTES", most)
+            got[most] = packed.sums(lambda block: block.x.sum(0), 3)
+    assert got[0].tolist() == got[1 << 18].tolist() and got[0] == pytest.approx(x.sum(0))
+    assert [len(r) for r in received] == [packed.blocks, 1]
+
+
 def test_ward_on_few_rows_and_on_micro_clusters(spark):
     rng = np.random.default_rng(10)
     x = np.concatenate([rng.normal(c, 0.2, (30, 2)) for c in (0, 5, 10)])
