@@ -94,6 +94,17 @@ def test_draw_without_replacement():
     assert len(search.draw({"C": [1, 2]}, 30)) == 2
 
 
+def test_forest_keeps_nodes_between_levels_and_grows_the_same_trees(rows):
+    shape = models.describe(rows, "label")
+    kept = models.build_estimator(models.FOREST, {"n_estimators": 5}, shape)
+    assert kept.getCacheNodeIds()
+    indexed = models.with_label_index(rows, "label", shape.classes)
+    walked = kept.copy().setCacheNodeIds(False)
+    # the first line of a tree has an id of its own
+    first, second = ([t.toDebugString.split("\n")[1:] for t in e.fit(indexed).trees] for e in (kept, walked))
+    assert first == second
+
+
 def test_out_of_fold_covers_every_row_once(rows):
     part = search.out_of_fold(rows, models.FOREST, {"n_estimators": 3, "max_depth": 3}, "row_id")
     assert part.count() == part.select("row_id").distinct().count() == 240
