@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from meridia.functions import naming
 from meridia.operators import encode, outliers, prep
 from meridia.sources import readers, writers
+from workload import views
 
 HOUR = dt.datetime(2021, 3, 6)
 COLUMNS = (
@@ -209,3 +210,20 @@ def test_empty_files_give_two_empty_tables(spark, tmp_path):
     (tmp_path / "none.csv").write_text("Id\n")
     good, rejected = readers.read_csv_apart(spark, str(tmp_path / "none.csv"), {"Id": ("id", "long")})
     assert good.count() == rejected.count() == 0
+
+
+def test_labeled_days_read_the_readings_once(spark, tmp_path):
+    start = dt.datetime(2021, 1, 1)
+    lines = [
+        (i, i % 7, 100 * (i % 3), i % 4, 1.0, 10.0 + i * i % 17, 0.1, 0.02, "ANR"[i % 3], "OF"[i % 2], start + dt.timedelta(days=i % 5))
+        for i in range(60)
+    ]
+    kind = (
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+        "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp"
+    )
+    spark.createDataFrame(lines, kind).write.parquet(f"{tmp_path}/lineitem.parquet")
+    days = views.labeled(spark, str(tmp_path))
+    assert not [f for f in days.inputFiles() if "lineitem" in f]
+    plain = prep.quantile_class(views.daily(spark, str(tmp_path)))
+    assert sorted(map(str, days.collect())) == sorted(map(str, plain.collect()))
