@@ -181,3 +181,23 @@ def test_few_rows_copies_and_none(spark):
     odd = spark.createDataFrame([(1, [1.0]), (2, None), (3, [4.0])], kind)
     got = {r["row_id"]: r["cluster"] for r in run.transform(odd, "x").collect()}
     assert got == {1: 0, 2: None, 3: 1}
+
+
+def test_platt_scaling_fits_its_linear_svms_in_one_loop(rows, monkeypatch):
+    shape = models.describe(rows, "label")
+    alone = models.fit(rows, models.LINEAR_SVM, {"C": 0.5}, shape=shape)
+
+    def refused(*_):
+        raise AssertionError("fitted one by one")
+
+    monkeypatch.setattr(models, "build_estimator", refused)
+    made = models.platt_scaling(rows, models.LINEAR_SVM, {"C": 0.5})
+    both = made.score(rows).join(alone.score(rows).select("row_id", F.col("pred").alias("single")), "row_id").collect()
+    assert sum(r["pred"] == r["single"] for r in both) >= 0.97 * len(both) == 0.97 * 600
+    assert all(sum(r[f"p_{c}"] for c in made.classes) == pytest.approx(1) for r in both)
+    assert all(slope > 0 for slope, _ in made.scaling)
+    with pytest.raises(ValueError, match="no Spark counterpart"):
+        models.platt_scaling(rows, models.LINEAR_SVM, {"gamma": 1})
+    odd = rows.unionByName(rows.limit(1).withColumn("fold", F.lit(None).cast("int")))
+    with pytest.raises(ValueError, match="1 rows have no"):
+        stacked.fit_svms(odd, {}, models.describe(odd, "label"), [0, 1, 2, 3, 4])
