@@ -201,3 +201,16 @@ def test_platt_scaling_fits_its_linear_svms_in_one_loop(rows, monkeypatch):
     odd = rows.unionByName(rows.limit(1).withColumn("fold", F.lit(None).cast("int")))
     with pytest.raises(ValueError, match="1 rows have no"):
         stacked.fit_svms(odd, {}, models.describe(odd, "label"), [0, 1, 2, 3, 4])
+
+
+def test_search_of_linear_svms_refits_in_the_loop(rows, monkeypatch):
+    alone = models.fit(rows, models.LINEAR_SVM, {"C": 1.0})
+
+    def refused(*_):
+        raise AssertionError("fitted one by one")
+
+    monkeypatch.setattr(models, "fit", refused)
+    best = search.search(rows, models.LINEAR_SVM, [{"C": 1.0}]).best
+    both = best.score(rows).join(alone.score(rows).select("row_id", F.col("pred").alias("single")), "row_id").collect()
+    assert best.params == {"C": 1.0} and len(both) == 600 and not best.has_probabilities
+    assert sum(r["pred"] == r["single"] for r in both) >= 0.97 * 600
