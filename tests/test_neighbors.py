@@ -236,3 +236,11 @@ def test_pca_signs_and_shares(spark):
     assert shares == pytest.approx(list(s[:2] / s.sum()))
     got = {r["id"]: r["pc1"] for r in projected.collect()}
     assert np.corrcoef([got[i] for i in range(80)], centred[:, 0])[0, 1] > 0.99
+
+
+def test_adasyn_weights_search_the_neighbours_once(spark):
+    rows = [(i, [float(i % 7), float(i % 5)], "few" if i % 4 == 0 else "many") for i in range(60)]
+    df = spark.createDataFrame(rows, "row_id long, x array<double>, label string")
+    made = balance.adasyn_weights(df, "label", "row_id", "x")
+    assert "FlatMapCoGroups" not in made._jdf.queryExecution().analyzed().toString()
+    assert made.count() == 15 and made.agg(F.sum("weight")).first()[0] == pytest.approx(1)
