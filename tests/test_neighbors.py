@@ -106,6 +106,32 @@ def test_cells_meet_in_bundles(spark):
                 assert set(goes) == {b for c in sizes[g] for b in homes[g, c]}
 
 
+def test_a_point_is_sent_to_a_fixed_number_of_tasks_however_many_points_there_are():
+    for rows in (10**5, 10**6, 9 * 10**6):
+        held = neighbors.held_rows(rows, 64, 1024)
+        assert rows / held <= neighbors.STREAMS and 8 * 64 * held <= neighbors.HELD_BYTES
+    pivots = np.random.default_rng(25).normal(size=(100, 64))
+    sizes = {0: {c: 30_000 for c in range(100)}}
+    plan = {(0, q): (1, [(c, 0.0, 1) for c in range(100)]) for q in range(100)}
+    _, points, _ = neighbors._meeting_tables(plan, sizes, sizes, pivots, neighbors.held_rows(3_000_000, 64, 1024))
+    assert max(len(goes) for _, _, _, goes in points) <= 2 * neighbors.STREAMS
+
+
+def test_points_that_stream_past_leave_the_nearest_of_every_query(spark):
+    """Many batches, equal distances (the smaller id wins), text ids, and vectors that need double precision."""
+    rng = np.random.default_rng(26)
+    corners = np.array([[float(i >> b & 1) for b in range(10)] for i in range(256)])
+    fine = 1e3 + rng.normal(size=(256, 12)) * 1e-7
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        for x in (corners, fine):
+            df = _table(spark, x).withColumn("id", F.format_string("%03d", "id"))
+            got = _got(neighbors.knn_join(df, "id", "x", 5, block_rows=64))
+            assert {int(i): [int(n) for n in near] for i, near in got.items()} == _brute(x, 5)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_groups_share_the_pivots_by_the_largest_of_them(spark, monkeypatch):
     rng = np.random.default_rng(24)
     labels = [str(i % 5) for i in range(200)]
