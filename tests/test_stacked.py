@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from meridia.functions.blocks import dense_blocks
@@ -81,6 +82,28 @@ def test_many_logistic_fits_equal_single_ones(rows):
         assert np.abs(made.weights[at] - alone).max() < 1e-4
 
 
+def test_features_that_nearly_repeat_each_other_do_not_add_passes(spark):
+    rng = np.random.default_rng(31)
+    base = rng.normal(size=(600, 3))
+    x = np.hstack([base, base + 0.02 * rng.normal(size=(600, 3)), 30 * rng.normal(size=(600, 1))])
+    y = (x @ rng.normal(size=(7, 3)) * 0.3 + rng.gumbel(size=(600, 3))).argmax(1)
+    made = [(str(c), Vectors.dense(r), i % 3) for i, (r, c) in enumerate(zip(x.tolist(), y.tolist()))]
+    df = spark.createDataFrame(made, ["label", "features", "fold"])
+    shape = models.describe(df, "label")
+    tasks = [stacked.Task(c, f, shape.n_rows) for c in (0.1, 100.0) for f in (0, 1, None)]
+    with stacked.blocks_of(df, shape.classes) as blocks:
+        fitted = stacked.fit_stacked(blocks, models.LOGISTIC, shape.classes, tasks)
+    assert fitted.passes <= 60
+    for at, task in enumerate(tasks):
+        seen = np.array([task.hold is None or i % 3 != task.hold for i in range(600)])
+        ones = np.hstack([x[seen], np.ones((seen.sum(), 1))])
+        each = np.exp(ones @ fitted.weights[at].T)
+        push = each / each.sum(1, keepdims=True) - np.eye(3)[y[seen]]
+        free = np.hstack([fitted.weights[at][:, :-1], np.zeros((3, 1))])
+        slope = push.T @ ones / seen.sum() + free / (task.c * shape.n_rows)
+        assert np.abs(slope).max() < 1e-5
+
+
 def test_many_svm_fits_are_no_worse_than_single_ones(rows):
     shape = models.describe(rows, "label")
     tasks = [stacked.Task(c, f, shape.n_rows) for c in (0.01, 1.0) for f in (0, None)]
