@@ -5,8 +5,10 @@ from __future__ import annotations
 import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
+from meridia.functions.blocks import dense_blocks
 from meridia.operators import boosting, models
 
 
@@ -104,3 +106,26 @@ def test_an_absent_class_and_a_constant_feature(spark):
     with pytest.raises(ValueError, match="no Spark counterpart"):
         boosting.SoftmaxBooster({"alpha": 1}, 3)
     assert models.UNLIMITED_DEPTH == 30
+
+
+def test_rows_are_packed_with_a_byte_a_bin_and_rounds_count_nothing(spark, monkeypatch):
+    rng = np.random.default_rng(41)
+    x = np.round(rng.normal(size=(90, 3)), 1)
+    made = [(Vectors.dense(r), float(i % 3), i) for i, r in enumerate(x.tolist())]
+    df = spark.createDataFrame(made, ["features", "label_index", "row_id"])
+    edges = [np.unique(x[:, f])[:-1] for f in range(3)]
+    with dense_blocks(df, "features", ["label_index", "row_id"]) as raw:
+        frame = boosting._binned(raw, edges, [0.0, 0.5, 1.0])
+    for row in frame.collect():
+        n, ids = row["n"], np.frombuffer(row["code1"], np.int64)
+        assert row["width"] == 3 and len(row["x"]) == 8 * 3 * n and len(row["code2"]) == 3 * n + -3 * n % 8
+        bins = np.frombuffer(row["code2"], np.uint8)[: 3 * n].reshape(3, n)
+        assert all((bins[f] == np.searchsorted(edges[f], x[ids, f])).all() for f in range(3))
+    booster = boosting.SoftmaxBooster({"n_estimators": 3, "max_depth": 2, "max_bins": 16}, 3)
+    counted, whole = [], boosting.Blocks.__init__
+    monkeypatch.setattr(
+        boosting.Blocks, "__init__", lambda self, frame, like=None: counted.append(like is None) or whole(self, frame, like)
+    )
+    _, losses = booster.fit_with_progress(df, progress=True)
+    # the table is counted once as it is read and once in bins
+    assert sum(counted) <= 2 and losses == sorted(losses, reverse=True)
