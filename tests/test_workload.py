@@ -7,7 +7,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from meridia.operators import cluster, curves, models
+from meridia.operators import cluster, curves, models, search
 from meridia.plans import study
 from workload import catalog, modelling, registry, views
 
@@ -56,3 +56,9 @@ def test_earlier_booster_is_fitted_again(monkeypatch):
     monkeypatch.setattr(models, "fit", lambda *args, **kwargs: None)
     given = call_of(monkeypatch, "retrain_compare", study, "retrain_compare")
     assert given["first"] == (models.BOOSTING, study.EARLIER_BOOSTER)
+
+
+def test_random_search_tries_every_candidate_that_is_drawn(monkeypatch):
+    given = call_of(monkeypatch, "random_search", search, "search")
+    assert given["candidates"] == search.draw(search.RANDOM_PRESET[models.FOREST])
+    assert len(given["candidates"]) == search.N_ITER and not given.get("fixed")
